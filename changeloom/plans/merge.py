@@ -61,7 +61,7 @@ def merge_changes(
     work = shared_dir(spark, f"merge-{model.name}")
     state(model, changes).write.parquet(f"{work}/batch")
     batch = spark.read.parquet(f"{work}/batch")
-    if _has_data(spark, path):
+    if has_state(spark, path):
         old = spark.read.parquet(path).select(*batch.columns)
         sources = [batch]
         if not set(SESSION) <= set(model.keys):
@@ -73,8 +73,11 @@ def merge_changes(
         affected_groups([batch], SESSION).write.parquet(f"{work}/touched")
         touched = spark.read.parquet(f"{work}/touched")
         rows = batch
-    newest_copy(rows, model.keys).write.parquet(f"{work}/rows")
-    complete(model, spark.read.parquet(f"{work}/rows")).write.parquet(f"{work}/table")
+    newest = newest_copy(rows, model.keys)
+    if model.reads_twice:
+        newest.write.parquet(f"{work}/rows")
+        newest = spark.read.parquet(f"{work}/rows")
+    complete(model, newest).write.parquet(f"{work}/table")
     staged = spark.read.parquet(f"{work}/table")
     if gate:
         expect(live(staged), model.rules, model.name)
@@ -86,6 +89,10 @@ def read_live(spark: SparkSession, path: str) -> DataFrame:
     return live(spark.read.parquet(path))
 
 
-def _has_data(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+def has_state(spark: SparkSession, path: str) -> bool:
+    """Whether a state was written before: its folder holds partitions."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return False
+    return any(s.getPath().getName().startswith(f"{SESSION[0]}=") for s in fs.listStatus(folder))

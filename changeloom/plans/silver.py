@@ -151,6 +151,8 @@ class SilverModel:
     columns: Callable[[], list[Column | str]]
     derive: Callable[[DataFrame], DataFrame] = lambda df: df
     rules: tuple[Rule, ...] = field(default_factory=tuple)
+    # Whether `derive` reads its input more than once.
+    reads_twice: bool = False
 
 
 _EVENT = ("event_id",)
@@ -175,6 +177,7 @@ MODELS = {
                 NotNull("lap_number"),
                 Accepted("compound", (*COMPOUNDS, "UNKNOWN")),
             ),
+            reads_twice=True,
         ),
         SilverModel(
             "weather",

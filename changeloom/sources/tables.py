@@ -6,11 +6,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from changeloom.operators.joins import estimated_bytes
 from changeloom.operators.quality import Rule, expect
 
 # Medallion namespaces.
 LAYERS = ("bronze", "silver", "gold")
 _READY = "_PUBLISHED"
+# Below this size a partitioned write is bound by the number of files.
+SMALL_TABLE_BYTES = 256 * 1024 * 1024
 
 
 def create_namespaces(spark: SparkSession, catalog: str | None = None) -> list[str]:
@@ -100,8 +103,19 @@ class Tables:
 
 
 def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Bring rows of a partition together for writing, splitting large ones."""
-    return df.hint("rebalance", *partition_by) if partition_by else df
+    """Bring rows of a partition together before a partitioned write.
+
+    A small table is spread by partition over all tasks, as creating its many
+    files is the work. In a larger one Spark sizes the tasks by bytes, so a
+    partition that outgrows a task is split.
+    """
+    if not partition_by:
+        return df
+    size = estimated_bytes(df)
+    if size is not None and size <= SMALL_TABLE_BYTES:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartition(tasks, *partition_by)
+    return df.hint("rebalance", *partition_by)
 
 
 def replace_partitions(staged: DataFrame, path: str, partition_by: Sequence[str]) -> None:
