@@ -100,12 +100,18 @@ def latest_by_key(
     """The newest row per key: highest `order`, nulls last, then `tiebreak`.
 
     Spark cuts each input split to one row per key before the shuffle
-    (WindowGroupLimit), so a hot key costs one row per split.
+    (WindowGroupLimit), so a hot key costs one row per split. A composite key is
+    led by its hash: the sort then settles nearly all comparisons on that one
+    fixed-width prefix instead of walking through the key columns.
     """
-    ranking = Window.partitionBy(*keys).orderBy(
-        *[F.col(c).desc_nulls_last() for c in (*order, *tiebreak)]
-    )
-    return df.withColumn("_rn", F.row_number().over(ranking)).where("_rn = 1").drop("_rn")
+    newest = [F.col(c).desc_nulls_last() for c in (*order, *tiebreak)]
+    if len(keys) == 1:
+        ranking = Window.partitionBy(*keys).orderBy(*newest)
+    else:
+        df = df.withColumn("_hash", F.xxhash64(*keys))
+        ranking = Window.partitionBy("_hash", *keys).orderBy(*newest)
+    ranked = df.withColumn("_rn", F.row_number().over(ranking))
+    return ranked.where("_rn = 1").drop("_rn", "_hash")
 
 
 def apply_changes(

@@ -43,6 +43,7 @@ def lookup_join(
     residual: Column | None = None,
     limit: int = BROADCAST_BYTES,
     salts: int = SALTS,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large left side to a lookup (left, inner, left_semi, left_anti).
 
@@ -50,13 +51,14 @@ def lookup_join(
     side is not shuffled. Otherwise both sides are shuffled and the hot keys of
     the left side are spread over `salts` partitions, with the matching lookup
     rows copied to each; rows with a null key, which match nothing, are spread
-    too. `residual` is an extra condition over columns of both sides.
+    too. `residual` is an extra condition over columns of both sides. Hot keys are
+    counted in `keys_from` where the left side is costly to compute twice.
     """
     on = list(on)
     if fits_broadcast(right, limit):
         return _join(left, F.broadcast(right), on, how, residual)
 
-    hot = hot_keys(left, on).withColumn("_hot", F.lit(True))
+    hot = hot_keys(left if keys_from is None else keys_from, on).withColumn("_hot", F.lit(True))
     has_null = F.lit(False)
     for c in on:
         has_null = has_null | F.col(c).isNull()
@@ -99,31 +101,33 @@ def point_in_time_join(
     valid_to: str,
     chunk: int = 1024,
     limit: int = BROADCAST_BYTES,
-    bounds_from: DataFrame | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join each fact to the version valid at its `seq` (bounds inclusive).
 
     Versions are keyed by the `chunk`-wide slices of the sequence they touch, so
     a fact is compared with at most `chunk` versions of its key however many the
-    key has. Versions are cut to the span of the facts before slicing; the span is
-    read from `bounds_from` where the facts are costly to compute.
+    key has. Versions are cut to the span of the facts before slicing. Span and
+    hot keys are read from `keys_from` where the facts are costly to compute.
     """
-    spanned = facts if bounds_from is None else bounds_from
+    spanned = facts if keys_from is None else keys_from
     lowest = spanned.agg(F.min(seq)).scalar()
     newest = spanned.agg(F.max(seq)).scalar()
     first = F.greatest(F.col(valid_from), lowest)
     last = F.least(F.col(valid_to), newest)
-    sliced = (
-        dim.where(first <= last)
-        .withColumn(
-            "_chunk",
-            F.explode(
-                F.sequence(
-                    F.floor(first / chunk).cast("long"), F.floor(last / chunk).cast("long")
-                )
-            ),
-        )
+
+    def slice_of(position: Column) -> Column:
+        return F.floor(position / chunk).cast("long")
+
+    sliced = dim.where(first <= last).withColumn(
+        "_chunk", F.explode(F.sequence(slice_of(first), slice_of(last)))
     )
-    keyed = facts.withColumn("_chunk", F.floor(F.col(seq) / chunk).cast("long"))
-    within = F.col(seq).between(F.col(valid_from), F.col(valid_to))
-    return lookup_join(keyed, sliced, [*on, "_chunk"], "left", within, limit).drop("_chunk")
+    return lookup_join(
+        facts.withColumn("_chunk", slice_of(F.col(seq))),
+        sliced,
+        [*on, "_chunk"],
+        "left",
+        F.col(seq).between(F.col(valid_from), F.col(valid_to)),
+        limit,
+        keys_from=spanned.withColumn("_chunk", slice_of(F.col(seq))),
+    ).drop("_chunk")

@@ -252,12 +252,12 @@ def mart_driver_race_result(t: Tables) -> DataFrame:
         races, drivers, ["driver_code"], "race_seq", "_driver_from", "_driver_to"
     )
     out = point_in_time_join(
-        out, teams, ["team"], "race_seq", "_team_from", "_team_to", bounds_from=races
+        out, teams, ["team"], "race_seq", "_team_from", "_team_to", keys_from=races
     )
     # One shuffle of the races serves these three joins on the same key.
     for side in (laps, quali, pace):
         out = out.join(side, driver_race, "left")
-    out = lookup_join(out, season, ["season", "driver_code"])
+    out = lookup_join(out, season, ["season", "driver_code"], keys_from=races)
     return _stamped(
         out.select(
             *driver_race,

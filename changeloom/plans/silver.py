@@ -7,7 +7,7 @@ columns, and `live` is what readers see.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -240,7 +240,23 @@ def live(table: DataFrame) -> DataFrame:
     return table.where(~F.col("_is_deleted")).drop("_lsn", "_ts_ms")
 
 
-def build(name: str, changes: DataFrame) -> DataFrame:
-    """Live table straight from a whole change log."""
+def build(
+    name: str,
+    changes: DataFrame,
+    work: str | None = None,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Live table straight from a whole change log.
+
+    With `work`, a shared folder, the collapsed state (or the `columns` of it that
+    later steps need) is written there once, and every use reads that instead of
+    collapsing the log again.
+    """
     model = MODELS[name]
-    return live(complete(model, state(model, changes)))
+    current = state(model, changes)
+    if work is not None:
+        if columns is not None:
+            current = current.select(*columns, "_is_deleted", "_lsn", "_ts_ms")
+        current.write.parquet(work)
+        current = changes.sparkSession.read.schema(current.schema).parquet(work)
+    return live(complete(model, current))

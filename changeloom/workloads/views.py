@@ -27,7 +27,7 @@ _ORDER_KEYS = [
 ]
 _ORDER_META = [
     f"{_ORDER_OP} AS __op",
-    "unix_micros(CAST(o_orderdate AS TIMESTAMP)) DIV 1000 AS __ts_ms",
+    "unix_date(CAST(o_orderdate AS DATE)) * 86400000L AS __ts_ms",
     "o_orderkey AS __source_lsn",
 ]
 _EVENT_OP = (
@@ -48,14 +48,14 @@ _EVENT_META = [
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
-        "*", "CAST(round(o_totalprice * 100) AS BIGINT) AS cents"
+        "*", "CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT) AS cents"
     )
 
 
 def laps_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
-        .selectExpr("*", "CAST(round(l_extendedprice * 100) AS BIGINT) AS cents")
+        .selectExpr("*", "CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS cents")
         .selectExpr(
             "l_orderkey * 1000000000 + l_partkey * 10 + l_linenumber AS event_id",
             "CAST(year(l_shipdate) AS INT) AS season",
@@ -67,8 +67,8 @@ def laps_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_linenumber AS lap_number",
             "cents DIV 2 AS lap_time_ms",
             "CASE WHEN l_quantity > 5 THEN CAST(l_quantity AS BIGINT) * 1000 END AS sector1_ms",
-            "CAST(round(l_discount * 100) AS BIGINT) * 500 + 20000 AS sector2_ms",
-            "CAST(round(l_tax * 100) AS BIGINT) * 700 + 15000 AS sector3_ms",
+            "CAST(floor(l_discount * 100 + 0.5) AS BIGINT) * 500 + 20000 AS sector2_ms",
+            "CAST(floor(l_tax * 100 + 0.5) AS BIGINT) * 700 + 15000 AS sector3_ms",
             "CASE l_partkey % 7 WHEN 0 THEN 'soft' WHEN 1 THEN 'MEDIUM' WHEN 2 THEN 'Hard' "
             "WHEN 3 THEN 'wet' WHEN 4 THEN 'Foo' WHEN 5 THEN 'SOFT' END AS compound",
             "CAST(l_partkey % 40 AS INT) AS tyre_life",
@@ -78,7 +78,7 @@ def laps_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_linestatus AS track_status",
             "CASE WHEN l_quantity <= 3 THEN 'd' WHEN l_quantity <= 20 THEN 'u' "
             "WHEN l_quantity <= 30 THEN 'c' WHEN l_quantity <= 48 THEN 'r' END AS __op",
-            "unix_micros(CAST(l_shipdate AS TIMESTAMP)) DIV 1000 AS __ts_ms",
+            "unix_date(CAST(l_shipdate AS DATE)) * 86400000L AS __ts_ms",
             "CASE WHEN l_partkey % 10 > 0 THEN l_partkey END AS __source_lsn",
         )
     )
