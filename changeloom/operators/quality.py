@@ -38,17 +38,20 @@ class ExpectationFailed(RuntimeError):
     """A table broke one of its rules and must not be published."""
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "n") -> DataFrame:
     """Keys that occur more than once, with their row count."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.where("_rows > 1").withColumnRenamed("_rows", count)
 
 
-def unexpected_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+def unexpected_values(
+    df: DataFrame, column: str, values: Sequence, count: str = "n"
+) -> DataFrame:
     """Values outside the accepted list, with their row count; null is accepted."""
     return (
         df.where(~F.col(column).isin(*values))
         .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias(count))
     )
 
 

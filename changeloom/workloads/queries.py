@@ -18,7 +18,7 @@ from changeloom.plans.merge import merge_changes, read_live
 from changeloom.plans.refresh import refresh_all
 from changeloom.schemas import DATASETS, RACE, SESSION, SOURCE_TABLES, change_schema, source_schema
 from changeloom.session import RUNTIME_DEFAULTS, shared_dir
-from changeloom.sources.landing import pinned_schema, with_hour_folders, write_landing
+from changeloom.sources.landing import file_format, pinned_schema, with_hour_folders, write_landing
 from changeloom.sources.normalize import RAW_COLUMNS, for_driver, normalize
 from changeloom.sources.tables import Tables
 from changeloom.streaming import bronze as bronze_stream
@@ -774,13 +774,13 @@ def _as_change_rows(df: DataFrame, dataset: str) -> DataFrame:
 
 @query
 def stream_bronze_topics(spark, sf_dir):
-    """Land all eight topics as files, drain them side by side, count rows."""
+    """Land all eight topics as Avro, drain them side by side, count rows."""
     landing = shared_dir(spark, "landing")
     root = shared_dir(spark, "bronze")
     specs = bronze_stream.topic_specs()
     for topic, spec in specs.items():
         rows = _as_change_rows(changes(spark, sf_dir, spec.table), spec.table)
-        rows.write.json(f"{landing}/{topic}")
+        rows.write.format(file_format(spark, "avro")).save(f"{landing}/{topic}")
     bronze_stream.drain(spark, landing, root, shared_dir(spark, "checkpoint"), specs)
     tables = {spec.table: spark.read.parquet(f"{root}/{spec.table}") for spec in specs.values()}
     return bronze_stream.table_counts(tables)
@@ -806,9 +806,11 @@ def stream_silver_results(spark, sf_dir):
 def landing_hour_folders(spark, sf_dir):
     """Events written below hour folders; rows per folder, read back."""
     path = shared_dir(spark, "landing")
-    write_landing(event_table(spark, sf_dir), path, "json", F.col("ts"))
+    events = event_table(spark, sf_dir).drop("props")
+    write_landing(events.withColumn("ts", F.col("ts").cast("timestamp")), path, clock=F.col("ts"))
     folders = "year string, month string, day string, hour string"
-    back = spark.read.schema(f"event_id long, user_id long, {folders}").json(path)
+    avro = spark.read.format(file_format(spark, "avro"))
+    back = avro.schema(f"event_id long, user_id long, {folders}").load(path)
     return back.groupBy("year", "month", "day", "hour").agg(
         F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids")
     )
@@ -825,9 +827,10 @@ def landing_pinned_schema(spark, sf_dir):
     """Infer the landed files' schema once, pin it and read with it."""
     path = shared_dir(spark, "landing")
     events = event_table(spark, sf_dir).select("event_id", "user_id", "event_type", "value")
-    events.write.json(path)
-    schema = pinned_schema(spark, path, "json", shared_dir(spark, "schema"))
-    return spark.read.schema(schema).json(path).select(*events.columns)
+    avro = file_format(spark, "avro")
+    events.write.format(avro).save(path)
+    schema = pinned_schema(spark, path, "avro", shared_dir(spark, "schema"))
+    return spark.read.format(avro).schema(schema).load(path)
 
 
 @query
