@@ -66,11 +66,14 @@ def flag_group_minimum(
     measure: str,
     flag: str,
     limit: int = BROADCAST_BYTES,
+    work: str | None = None,
 ) -> DataFrame:
     """True where `measure` equals the smallest of its group; null stays null.
 
     The group minimum is aggregated map-side and joined on (group, measure), so
-    no task has to hold a whole group.
+    no task has to hold a whole group. With `work`, a shared folder, the minima
+    are written there first, and the join is planned on their true size instead
+    of an estimate that follows the input.
     """
     best = (
         df.where(F.col(measure).isNotNull())
@@ -78,6 +81,9 @@ def flag_group_minimum(
         .agg(F.min(measure).alias(measure))
         .withColumn("_best", F.lit(True))
     )
+    if work is not None:
+        best.write.parquet(work)
+        best = df.sparkSession.read.schema(best.schema).parquet(work)
     joined = lookup_join(df, best, [*group, measure], "left", limit=limit)
     value = F.when(F.col(measure).isNotNull(), F.col("_best").isNotNull())
     return joined.select(*df.columns, value.alias(flag))

@@ -77,7 +77,7 @@ def merge_changes(
     if model.reads_twice:
         newest.write.parquet(f"{work}/rows")
         newest = spark.read.parquet(f"{work}/rows")
-    complete(model, newest).write.parquet(f"{work}/table")
+    complete(model, newest, f"{work}/derived").write.parquet(f"{work}/table")
     staged = spark.read.parquet(f"{work}/table")
     if gate:
         expect(live(staged), model.rules, model.name)

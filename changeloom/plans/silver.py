@@ -128,20 +128,24 @@ def _results_columns() -> list:
     ]
 
 
-def _with_seconds(**columns: str) -> Callable[[DataFrame], DataFrame]:
-    return lambda df: df.withColumns({new: seconds(old) for new, old in columns.items()})
+Derive = Callable[[DataFrame, str | None], DataFrame]
 
 
-def _derive_laps(df: DataFrame) -> DataFrame:
+def _with_seconds(**columns: str) -> Derive:
+    return lambda df, _work: df.withColumns({new: seconds(old) for new, old in columns.items()})
+
+
+def _derive_laps(df: DataFrame, work: str | None) -> DataFrame:
     timed = _with_seconds(
         lap_time_s="lap_time_ms",
         sector1_s="sector1_ms",
         sector2_s="sector2_ms",
         sector3_s="sector3_ms",
-    )(df)
+    )(df, work)
     # A deleted lap cannot be the fastest of its session.
     counted = timed.withColumn("_counted", F.when(~F.col("_is_deleted"), F.col("lap_time_ms")))
-    return flag_group_minimum(counted, SESSION, "_counted", "is_fastest_lap").drop("_counted")
+    flagged = flag_group_minimum(counted, SESSION, "_counted", "is_fastest_lap", work=work)
+    return flagged.drop("_counted")
 
 
 @dataclass(frozen=True)
@@ -149,7 +153,7 @@ class SilverModel:
     name: str
     keys: tuple[str, ...]
     columns: Callable[[], list[Column | str]]
-    derive: Callable[[DataFrame], DataFrame] = lambda df: df
+    derive: Derive = lambda df, _work: df
     rules: tuple[Rule, ...] = field(default_factory=tuple)
     # Whether `derive` reads its input more than once.
     reads_twice: bool = False
@@ -230,9 +234,12 @@ def state(model: SilverModel, changes: DataFrame) -> DataFrame:
     )
 
 
-def complete(model: SilverModel, current: DataFrame) -> DataFrame:
-    """A state with its derived columns, tombstones still in place."""
-    return model.derive(current)
+def complete(model: SilverModel, current: DataFrame, work: str | None = None) -> DataFrame:
+    """A state with its derived columns, tombstones still in place.
+
+    `work` is a shared folder for what the derivation wants to write first.
+    """
+    return model.derive(current, work)
 
 
 def live(table: DataFrame) -> DataFrame:
@@ -254,9 +261,10 @@ def build(
     """
     model = MODELS[name]
     current = state(model, changes)
-    if work is not None:
-        if columns is not None:
-            current = current.select(*columns, "_is_deleted", "_lsn", "_ts_ms")
-        current.write.parquet(work)
-        current = changes.sparkSession.read.schema(current.schema).parquet(work)
-    return live(complete(model, current))
+    if work is None:
+        return live(complete(model, current))
+    if columns is not None:
+        current = current.select(*columns, "_is_deleted", "_lsn", "_ts_ms")
+    current.write.parquet(f"{work}/state")
+    stored = changes.sparkSession.read.schema(current.schema).parquet(f"{work}/state")
+    return live(complete(model, stored, f"{work}/derived"))

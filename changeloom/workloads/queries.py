@@ -59,33 +59,40 @@ def silver_table(spark, sf_dir, name) -> DataFrame:
     return silver.build(name, changes(spark, sf_dir, name))
 
 
+LAP_COLUMNS = (
+    "event_id", *SESSION, "driver_code", "team", "lap_time_ms",
+    "sector1_ms", "sector2_ms", "sector3_ms", "compound", "pit_in_time_ms",
+)
+# Gold models that read the fastest-lap flag.
+READ_FASTEST = {"fact_driver_season_summary", "mart_driver_race_result"}
+
+
 class Lazy(dict):
     """Silver and gold tables of the test data by name, built on first use."""
 
-    def __init__(self, spark, sf_dir):
+    def __init__(self, spark, sf_dir, model: str):
         super().__init__()
         self._source = (spark, sf_dir)
+        self._fastest = model in READ_FASTEST
 
     def __missing__(self, name: str) -> DataFrame:
         if name in gold.MODELS:
             self[name] = gold.MODELS[name].build(self)
         else:
-            self[name] = silver_table(*self._source, name)
+            log = changes(*self._source, name)
+            self[name] = self.laps(log) if name == "laps" else silver.build(name, log)
         return self[name]
 
+    def laps(self, log: DataFrame) -> DataFrame:
+        """Laps with their flag, from a state written once; or without it."""
+        if self._fastest:
+            folder = shared_dir(log.sparkSession, "laps")
+            return silver.build("laps", log, folder, LAP_COLUMNS)
+        return silver.live(silver.state(silver.MODELS["laps"], log))
 
-LAP_COLUMNS = (
-    "event_id", *SESSION, "driver_code", "team", "lap_time_ms",
-    "sector1_ms", "sector2_ms", "sector3_ms", "compound", "pit_in_time_ms",
-)
 
-
-def race_mart(spark, sf_dir) -> DataFrame:
-    """The mart reads the laps three times, so their state is written once."""
-    tables = Lazy(spark, sf_dir)
-    log = changes(spark, sf_dir, "laps")
-    tables["laps"] = silver.build("laps", log, shared_dir(spark, "laps"), LAP_COLUMNS)
-    return gold.mart_driver_race_result(tables)
+def build_gold(spark, sf_dir, name: str) -> DataFrame:
+    return gold.MODELS[name].build(Lazy(spark, sf_dir, name))
 
 
 def event_table(spark, sf_dir) -> DataFrame:
@@ -102,7 +109,7 @@ def silver_telemetry(spark, sf_dir):
 
 @query
 def silver_laps(spark, sf_dir):
-    return silver_table(spark, sf_dir, "laps")
+    return silver.build("laps", changes(spark, sf_dir, "laps"), shared_dir(spark, "laps"))
 
 
 @query
@@ -140,43 +147,43 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 @query
 def gold_driver_season_summary(spark, sf_dir):
-    df = gold.fact_driver_season_summary(Lazy(spark, sf_dir))
+    df = build_gold(spark, sf_dir, "fact_driver_season_summary")
     return rounded(df, "lap_consistency_stddev")
 
 
 @query
 def gold_race_pace_comparison(spark, sf_dir):
-    return gold.fact_race_pace_comparison(Lazy(spark, sf_dir))
+    return build_gold(spark, sf_dir, "fact_race_pace_comparison")
 
 
 @query
 def gold_sector_dominance(spark, sf_dir):
-    return gold.sector_dominance(Lazy(spark, sf_dir))
+    return build_gold(spark, sf_dir, "sector_dominance")
 
 
 @query
 def gold_sector_dominance_nulls_first(spark, sf_dir):
-    return gold.sector_dominance(Lazy(spark, sf_dir), nulls="first")
+    return gold.sector_dominance(Lazy(spark, sf_dir, "sector_dominance"), nulls="first")
 
 
 @query
 def gold_race_weekend_summary(spark, sf_dir):
-    return gold.race_weekend_summary(Lazy(spark, sf_dir))
+    return build_gold(spark, sf_dir, "race_weekend_summary")
 
 
 @query
 def gold_dim_driver_scd2(spark, sf_dir):
-    return gold.dim_driver_scd2(Lazy(spark, sf_dir))
+    return build_gold(spark, sf_dir, "dim_driver_scd2")
 
 
 @query
 def gold_dim_team_scd2(spark, sf_dir):
-    return gold.dim_team_scd2(Lazy(spark, sf_dir))
+    return build_gold(spark, sf_dir, "dim_team_scd2")
 
 
 @query
 def gold_mart_driver_race_result(spark, sf_dir):
-    df = race_mart(spark, sf_dir)
+    df = build_gold(spark, sf_dir, "mart_driver_race_result")
     return rounded(df, "season_lap_consistency_stddev")
 
 
@@ -373,25 +380,25 @@ def _refreshed(spark, sf_dir, name) -> DataFrame:
     The changed groups also hold those of older copies the changes replace.
     """
     model = gold.MODELS[name]
-    used = {*model.inputs, *model.watched}
-    source = {n: changes(spark, sf_dir, n) for n in used - set(gold.MODELS)}
-    before = {n: silver.build(n, source[n].where(~_is_recent())) for n in source}
-    now = Lazy(spark, sf_dir)
+    now = Lazy(spark, sf_dir, name)
+    before = Lazy(spark, sf_dir, name)
     touched = {}
-    for n in model.watched:
-        keys = silver.MODELS[n].keys
-        recent = source[n].where(_is_recent())
-        replaced = joins.lookup_join(
-            before[n], recent.select(*keys).distinct(), keys, "left_semi"
-        )
-        touched[n] = scope.affected_groups([recent, replaced], SESSION)
-    older = dict(before)
-    for n in model.inputs:
-        if n in gold.MODELS:
-            older[n] = gold.MODELS[n].build({**before, **older})
-    old = model.build(older)
-    inputs = {n: now[n] for n in model.inputs}
-    return gold.refresh(model, old, touched, inputs)
+    for n in {*model.inputs, *model.watched} - set(gold.MODELS):
+        log = changes(spark, sf_dir, n)
+        earlier = log.where(~_is_recent())
+        before[n] = before.laps(earlier) if n == "laps" else silver.build(n, earlier)
+        if n in model.watched:
+            keys = silver.MODELS[n].keys
+            recent = log.where(_is_recent())
+            replaced = joins.lookup_join(
+                silver.state(silver.MODELS[n], earlier).select(*dict.fromkeys((*keys, *SESSION))),
+                recent.select(*keys).distinct(),
+                keys,
+                "left_semi",
+            )
+            touched[n] = scope.affected_groups([recent, replaced], SESSION)
+    old = model.build(before)
+    return gold.refresh(model, old, touched, {n: now[n] for n in model.inputs})
 
 
 @query
@@ -685,7 +692,7 @@ def expect_silver_results(spark, sf_dir):
 @query
 def expect_gold_mart(spark, sf_dir):
     model = gold.MODELS["mart_driver_race_result"]
-    return quality.check(race_mart(spark, sf_dir), model.rules)
+    return quality.check(build_gold(spark, sf_dir, "mart_driver_race_result"), model.rules)
 
 
 # ---- panel ---------------------------------------------------------------
@@ -722,7 +729,7 @@ def panel_drivers_present(spark, sf_dir):
 
 @query
 def panel_fastest_drivers(spark, sf_dir):
-    summary = gold.fact_driver_season_summary(Lazy(spark, sf_dir))
+    summary = build_gold(spark, sf_dir, "fact_driver_season_summary")
     return panel.fastest_drivers(summary).select("season", "driver_code", "fastest_lap_s")
 
 
@@ -867,7 +874,7 @@ def partitioned_table(spark, sf_dir):
 def rebuilt_table(spark, sf_dir):
     """Publish a table twice; readers see the last complete version."""
     store = Tables(spark, shared_dir(spark, "tables"))
-    teams = gold.dim_team_scd2(Lazy(spark, sf_dir))
+    teams = build_gold(spark, sf_dir, "dim_team_scd2")
     store.publish("dim_team_scd2", teams.where("is_current"))
     store.publish("dim_team_scd2", teams, rules=gold.MODELS["dim_team_scd2"].rules)
     return store.read("dim_team_scd2")
