@@ -7,8 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Runtime SQL settings every job relies on. They are only set where the session
-# still has Spark's own default, so a cluster's choices win.
+# Runtime SQL settings every job relies on, set where the cluster chose none.
 RUNTIME_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -27,15 +26,22 @@ def build_session(
 ) -> SparkSession:
     """A session with the library's settings; `master` only for local runs."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
-    for key, value in RUNTIME_DEFAULTS.items():
-        builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return with_defaults(builder.getOrCreate())
+
+
+def with_defaults(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings that the session's configuration leaves open."""
+    configured = spark.sparkContext.getConf()
+    for key, value in RUNTIME_DEFAULTS.items():
+        if not configured.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:

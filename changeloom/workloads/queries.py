@@ -17,7 +17,7 @@ from changeloom.plans import gold, panel, silver
 from changeloom.plans.merge import merge_changes, read_live
 from changeloom.plans.refresh import refresh_all
 from changeloom.schemas import DATASETS, RACE, SESSION, SOURCE_TABLES, change_schema, source_schema
-from changeloom.session import RUNTIME_DEFAULTS, shared_dir
+from changeloom.session import shared_dir, with_defaults
 from changeloom.sources.landing import file_format, pinned_schema, with_hour_folders, write_landing
 from changeloom.sources.normalize import RAW_COLUMNS, for_driver, normalize
 from changeloom.sources.tables import Tables
@@ -34,18 +34,12 @@ STAMPS = ("_silver_loaded_at", "_gold_loaded_at", "_bronze_loaded_at")
 NO_BROADCAST = -1
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    for key, value in RUNTIME_DEFAULTS.items():
-        spark.conf.set(key, value)
-    return spark
-
-
 def query(fn: Query) -> Query:
     """Register a query under its function name; load stamps are not compared."""
 
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(prepare(spark), sf_dir).drop(*STAMPS)
+        return fn(with_defaults(spark), sf_dir).drop(*STAMPS)
 
     QUERIES[fn.__name__] = run
     return run
