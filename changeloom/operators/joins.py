@@ -64,7 +64,8 @@ def lookup_join(
         has_null = has_null | F.col(c).isNull()
     # Same row, same salt on a retried task; equal rows of different input
     # partitions still land apart.
-    spread = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    hashed = [f.name for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    spread = F.pmod(F.xxhash64(*hashed) + F.spark_partition_id(), F.lit(salts)).cast("int")
     salted_left = (
         left.join(F.broadcast(hot), on, "left")
         .withColumn("_salt", F.when(F.col("_hot") | has_null, spread).otherwise(F.lit(0)))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from changeloom.operators import joins
 from changeloom.operators.ordered import neighbours
+from changeloom.operators.replay import merge_timeline, replay_schedule
 from changeloom.operators.winners import flag_group_minimum
 
 NO_BROADCAST = -1
@@ -37,18 +38,42 @@ def test_hot_keys_are_few_and_found(facts):
     assert rows(joins.hot_keys(facts, ["k"], share=10), "k") == [(7,)]
 
 
-def test_hot_key_is_spread_over_partitions(spark, facts, lookup):
+@pytest.fixture
+def fixed_partitions(spark):
+    """Keep the planned number of partitions, so that rows per task can be read."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = joins.lookup_join(facts, lookup, ["k"], limit=NO_BROADCAST)
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        sizes = (
-            joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
-        ).collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "_salt" in plan
-    assert max(r["n"] for r in sizes) < 2 * 9000 / 8
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def largest_share(df) -> float:
+    """Share of the rows that ended up in the fullest partition."""
+    sizes = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return max(r["n"] for r in sizes) / sum(r["n"] for r in sizes)
+
+
+def test_hot_key_is_spread_over_partitions(fixed_partitions, facts, lookup):
+    plain = facts.join(lookup.hint("merge"), ["k"], "left")
+    assert largest_share(plain) > 1 / 3
+    assert largest_share(joins.lookup_join(facts, lookup, ["k"], limit=NO_BROADCAST)) < 2 / 8
+
+
+def test_crowded_session_is_spread_over_partitions(spark, fixed_partitions):
+    """A third of all rows in one session, half of those at one moment."""
+    session = ["season", "round", "session_type"]
+    df = spark.range(12000).selectExpr(
+        "id AS event_id",
+        "2024 AS season",
+        "CASE WHEN id % 3 = 0 THEN 1 ELSE CAST(id % 24 AS INT) END AS round",
+        "'R' AS session_type",
+        "CASE WHEN id % 6 = 0 THEN 0 ELSE id * 100 END AS session_time_ms",
+    )
+    timeline = merge_timeline(df, df.where("false"), session)
+    schedule = replay_schedule(timeline, session, 20.0, chunk=10_000)
+    assert schedule.count() == 12000
+    assert largest_share(schedule) < 2 / 8
+    flagged = flag_group_minimum(df, session, "session_time_ms", "first", NO_BROADCAST)
+    assert largest_share(flagged) < 2 / 8
 
 
 def test_small_lookup_is_broadcast_by_size(spark, facts):
