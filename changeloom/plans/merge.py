@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from changeloom.operators.cdc import latest_by_key
@@ -20,7 +21,7 @@ from changeloom.plans.silver import (
     live,
     state,
 )
-from changeloom.schemas import SESSION
+from changeloom.schemas import SESSION, change_schema
 from changeloom.sources.tables import replace_partitions
 from changeloom.session import shared_dir
 
@@ -62,7 +63,8 @@ def merge_changes(
     state(model, changes).write.parquet(f"{work}/batch")
     batch = spark.read.parquet(f"{work}/batch")
     if has_state(spark, path):
-        old = spark.read.parquet(path).select(*batch.columns)
+        # The batch's schema: a column the stored files do not have yet is null.
+        old = spark.read.schema(batch.schema).parquet(path)
         sources = [batch]
         if not set(SESSION) <= set(model.keys):
             sources.append(lookup_join(old, batch.select(*model.keys), model.keys, "left_semi"))
@@ -85,8 +87,15 @@ def merge_changes(
     return Merged(touched)
 
 
-def read_live(spark: SparkSession, path: str) -> DataFrame:
-    return live(spark.read.parquet(path))
+def stored_schema(spark: SparkSession, model: SilverModel) -> T.StructType:
+    """Columns of a stored state, whatever the age of its files."""
+    nothing = spark.createDataFrame([], change_schema(model.name))
+    return complete(model, state(model, nothing)).schema
+
+
+def read_live(spark: SparkSession, path: str, model: SilverModel) -> DataFrame:
+    """Live rows of the state at `path`."""
+    return live(spark.read.schema(stored_schema(spark, model)).parquet(path))
 
 
 def has_state(spark: SparkSession, path: str) -> bool:

@@ -430,7 +430,7 @@ def merge_stored_results(spark, sf_dir):
     for part in (2, 1, 0):
         batch = log.where(F.pmod(F.col("__source_lsn"), F.lit(3)) == part)
         merge_changes(spark, silver.MODELS["results"], batch, path, gate=False)
-    return read_live(spark, path)
+    return read_live(spark, path, silver.MODELS["results"])
 
 
 @query
@@ -440,7 +440,7 @@ def merge_stored_laps(spark, sf_dir):
     for part in (1, 0):
         batch = log.where(F.pmod(F.col("event_id"), F.lit(2)) == part)
         merge_changes(spark, silver.MODELS["laps"], batch, path)
-    return read_live(spark, path)
+    return read_live(spark, path, silver.MODELS["laps"])
 
 
 @query
@@ -800,7 +800,7 @@ def stream_silver_results(spark, sf_dir):
     bronze_stream.finish(
         merge_stream(spark, stream, "results", state, shared_dir(spark, "checkpoint"), gate=False)
     )
-    return read_live(spark, state)
+    return read_live(spark, state, silver.MODELS["results"])
 
 
 @query

@@ -49,7 +49,7 @@ def test_any_split_gives_the_same_state(spark, folder, seed):
     path = f"{folder}/state"
     for cut in (*cuts, cuts[0]):
         merge_changes(spark, model, log(spark, "results", cut), path, gate=False)
-    assert rows(read_live(spark, path), *SHOWN) == full
+    assert rows(read_live(spark, path, model), *SHOWN) == full
 
 
 def test_moved_row_leaves_its_old_session(spark, folder):
@@ -59,7 +59,7 @@ def test_moved_row_leaves_its_old_session(spark, folder):
     moved = log(spark, "results", [change(2, "u", event_id=1, round=2, driver_code="A")])
     merge_changes(spark, model, first, path)
     merged = merge_changes(spark, model, moved, path)
-    assert rows(read_live(spark, path), "event_id", "round") == [(1, 2)]
+    assert rows(read_live(spark, path, model), "event_id", "round") == [(1, 2)]
     assert rows(merged.touched, "round") == [(1,), (2,)]
 
 
@@ -69,9 +69,9 @@ def test_delete_only_batch_empties_the_session(spark, folder):
     lap = {"event_id": 1, "lap_number": 1, "lap_time_ms": 80000, "driver_code": "A"}
     slower = {"event_id": 2, "lap_number": 2, "lap_time_ms": 90000, "driver_code": "A"}
     merge_changes(spark, model, log(spark, "laps", [change(1, "c", **lap), change(2, "c", **slower)]), path)
-    assert rows(read_live(spark, path), "lap_number", "is_fastest_lap") == [(1, True), (2, False)]
+    assert rows(read_live(spark, path, model), "lap_number", "is_fastest_lap") == [(1, True), (2, False)]
     merged = merge_changes(spark, model, log(spark, "laps", [change(3, "d", **lap)]), path)
-    assert rows(read_live(spark, path), "lap_number", "is_fastest_lap") == [(2, True)]
+    assert rows(read_live(spark, path, model), "lap_number", "is_fastest_lap") == [(2, True)]
     assert merged.touched.count() == 1
 
 
@@ -82,7 +82,19 @@ def test_failed_expectation_keeps_the_old_state(spark, folder):
     bad = log(spark, "results", [change(2, "u", driver_code=None)])
     with pytest.raises(ExpectationFailed, match="driver_code"):
         merge_changes(spark, model, bad, path)
-    assert rows(read_live(spark, path), "driver_code") == [("A",)]
+    assert rows(read_live(spark, path, model), "driver_code") == [("A",)]
+
+
+def test_state_written_before_a_column_was_added(spark, folder):
+    model = silver.MODELS["results"]
+    new, old = f"{folder}/new", f"{folder}/old"
+    merge_changes(spark, model, log(spark, "results", [change(1, "c", event_id=1, driver_code="A")]), new)
+    spark.read.parquet(new).drop("points").write.partitionBy(
+        "season", "round", "session_type"
+    ).parquet(old)
+    later = log(spark, "results", [change(2, "c", event_id=2, driver_code="B", points=4.0)])
+    merge_changes(spark, model, later, old)
+    assert rows(read_live(spark, old, model), "driver_code", "points") == [("A", None), ("B", 4.0)]
 
 
 def lap_changes(seed, n=80):
