@@ -237,32 +237,36 @@ def decode_documents(coded: DataFrame, path: str, id_col: str = "doc_id") -> Dat
     return decoded.select(F.col("key").alias(id_col), F.col("body").alias("text"))
 
 
-def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): every text encoded, then decoded from its ids.
 
     Ids are hashed as little-endian unsigned 32-bit integers; the decoded text
-    is hashed portion by portion.
+    is hashed portion by portion. `ids` adds the ids themselves, in that form.
     """
+    with_ids = ids
+    names = ["key", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.at(path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            counts, id_hashes, text_hashes = [], [], []
+            counts, id_hashes, text_hashes, raws = [], [], [], []
             for a, b in blocks([len(t) for t in texts]):
                 for ids in codec.encode(texts[a:b]):
                     counts.append(len(ids))
-                    id_hashes.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
+                    raw = ids.astype("<u4").tobytes()
+                    id_hashes.append(hashlib.sha256(raw).hexdigest())
+                    if with_ids:
+                        raws.append(raw)
                     digest = hashlib.sha256()
                     for portion in codec.decode(ids):
                         digest.update(portion.encode())
                     text_hashes.append(digest.hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(id_hashes, pa.string()), pa.array(text_hashes, pa.string())],
-                ["key", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(id_hashes, pa.string()), pa.array(text_hashes, pa.string())]
+            yield pa.RecordBatch.from_arrays([*columns, *([pa.array(raws, pa.binary())] if with_ids else [])], names)
 
     source = docs.select(F.col(id_col).alias("key"), text_of(docs, text_col).alias("body"))
     kind = source.schema["key"].dataType.simpleString()
-    out = source.mapInArrow(run, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    shape = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary" if with_ids else "")
+    out = source.mapInArrow(run, shape)
     return out.withColumnRenamed("key", id_col)
