@@ -96,7 +96,7 @@ class RangeHash:
         base = self.BASES[which]
         n = len(values) + 1
         if which not in self._tables or len(self._tables[which][0]) < n:
-            size = max(n, BLOCK_CHARS + 1)
+            size = max(2 * n, 1 << 16)
             inverse = pow(base, -1, 1 << 64)
             self._tables[which] = (powers(base, size), powers(inverse, size))
         up, self.down = self._tables[which]

@@ -43,10 +43,11 @@ LENGTH = 200
 GRAM = 32
 SHALLOW = 48
 GROUP = 4096
-BLOCK = 1 << 20
-# Places of an anchor within a string, and the bits of a packed place.
+BLOCK = 1 << 18
+# Places of an anchor within a string.
 REACH = LENGTH - GRAM
-SPAN_BITS, CHECK_BITS = 8, 20
+# Bits of a packed place: 31 for the first start, 8 for the further starts, 8 for the anchor, 16 of the text's second hash.
+SPAN_BITS, ANCHOR_BITS, CHECK_BITS = 8, 8, 16
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -87,14 +88,22 @@ def anchors(raw: np.ndarray, bounds: np.ndarray):
     return gram[place], context, low, high, place, owner[low]
 
 
-def pack(low: np.ndarray, high: np.ndarray, check: np.ndarray) -> np.ndarray:
-    """First start, number of further starts and some bits of the text's second hash in one word."""
-    return (low << (SPAN_BITS + CHECK_BITS)) | ((high - low) << CHECK_BITS) | (check & ((1 << CHECK_BITS) - 1))
+def pack(low: np.ndarray, high: np.ndarray, anchor: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """First start, number of further starts, bytes from the first start to the anchor, some bits of the text's second hash."""
+    word = (low << SPAN_BITS) | (high - low)
+    word = (word << ANCHOR_BITS) | anchor
+    return (word << CHECK_BITS) | own_bits(check)
 
 
-def unpack(word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    low = word >> (SPAN_BITS + CHECK_BITS)
-    return low, low + ((word >> CHECK_BITS) & ((1 << SPAN_BITS) - 1)), word & ((1 << CHECK_BITS) - 1)
+def own_bits(check: np.ndarray) -> np.ndarray:
+    return check & ((1 << CHECK_BITS) - 1)
+
+
+def unpack(word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last start, bytes from the first start to the anchor, bits of the text's second hash."""
+    low = word >> (SPAN_BITS + ANCHOR_BITS + CHECK_BITS)
+    high = low + ((word >> (ANCHOR_BITS + CHECK_BITS)) & ((1 << SPAN_BITS) - 1))
+    return low, high, (word >> CHECK_BITS) & ((1 << ANCHOR_BITS) - 1), own_bits(word)
 
 
 # ---- deep-shallow sorting
@@ -270,8 +279,9 @@ def repeated_in_group(group: np.ndarray, left: np.ndarray, left_size: np.ndarray
         return [np.zeros(0, np.int64)] * n
     who, which = np.concatenate(who), np.concatenate(which)
     turn = np.argsort(who, kind="stable")
-    cuts = np.searchsorted(who[turn], np.arange(n + 1))
-    return [which[turn][a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    who, which = who[turn], which[turn]
+    cuts = np.searchsorted(who, np.arange(n + 1))
+    return [which[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 # ---- the distributed steps
@@ -297,14 +307,14 @@ def anchor_rows(texts: DataFrame) -> DataFrame:
             raw, bounds = utf8(batch.column(2))
             for a, b in blocks(np.diff(bounds).tolist(), BLOCK):
                 ends = bounds[a : b + 1] - bounds[a]
-                gram, context, low, high, _, owner = anchors(raw[bounds[a] : bounds[b]], ends)
+                gram, context, low, high, at, owner = anchors(raw[bounds[a] : bounds[b]], ends)
                 text = owner + a
                 columns = [
                     pa.array(gram.view(np.int64)),
                     pa.array(context.view(np.int64)),
                     pa.array(np.minimum(copies[text], 2).astype(np.int32)),
                     pa.array(t[text]),
-                    pa.array(pack(low - ends[owner], high - ends[owner], check[text])),
+                    pa.array(pack(low - ends[owner], high - ends[owner], at - low, check[text])),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["h", "d", "copies", "t", "place"])
 
@@ -322,14 +332,11 @@ def context_rows(texts: DataFrame, wanted: DataFrame, windows: bool) -> DataFram
             for i in range(len(batch)):
                 rows = lists[i].values
                 h, copies, place = (rows.field(k).to_numpy(zero_copy_only=False) for k in ("h", "copies", "place"))
-                low, high, check = unpack(place)
-                own = check == (checks[i] & ((1 << CHECK_BITS) - 1))
-                raw = np.frombuffer(bodies[i].as_buffer(), np.uint8)
-                own &= high + LENGTH <= len(raw)
-                if not own.any():
-                    continue
-                h, copies, place, low, high = h[own], copies[own], place[own], low[own], high[own]
-                yield from (digests if windows else contexts)(texts_here[i], raw, h, copies, place, low, high)
+                low, high, anchor, check = unpack(place)
+                own = (check == own_bits(checks[i])) & (high + LENGTH <= len(bodies[i].as_buffer()))
+                if own.any():
+                    text = texts_here[i], bodies[i].as_buffer()
+                    yield from (digests if windows else contexts)(text, h[own], copies[own], place[own], low[own], high[own], anchor[own])
 
     lists = wanted.groupBy("t").agg(F.collect_list(F.struct("h", "copies", "place")).alias("rows"))
     joined = texts.join(lists, "t").select("t", "check", F.encode("body", "utf-8").alias("body"), "rows")
@@ -337,33 +344,26 @@ def context_rows(texts: DataFrame, wanted: DataFrame, windows: bool) -> DataFram
     return joined.mapInArrow(run, shape)
 
 
-CONTEXT = "h long, copies int, t long, place long, anchor int, bytes binary"
+CONTEXT = "h long, copies int, t long, place long, bytes binary"
 
 
-def contexts(t: int, raw: np.ndarray, h, copies, place, low, high) -> Iterator[pa.RecordBatch]:
-    data = raw.tobytes()
-    sums = RangeHash(raw, 0)
-    anchor = np.zeros(len(h), np.int64)
-    found = np.zeros(len(h), bool)
-    for step in range(REACH + 1):
-        at = np.minimum(high + step, len(raw) - GRAM)
-        now = ~found & (high + step <= low + REACH) & (sums.of(at, at + GRAM).view(np.int64) == h)
-        anchor[now] = (high + step - low)[now]
-        found |= now
-    regions = [data[a : b + LENGTH] for a, b in zip(low, high, strict=True)]
+def contexts(text: tuple[int, pa.Buffer], h, copies, place, low, high, anchor) -> Iterator[pa.RecordBatch]:
+    t, body = text
+    data = body.to_pybytes()
+    regions = [data[a : b + LENGTH] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
     columns = [
         pa.array(h),
         pa.array(copies, pa.int32()),
         pa.array(np.full(len(h), t)),
         pa.array(place),
-        pa.array(anchor, pa.int32()),
         pa.array(regions, pa.binary()),
     ]
-    yield pa.RecordBatch.from_arrays(columns, ["h", "copies", "t", "place", "anchor", "bytes"])
+    yield pa.RecordBatch.from_arrays(columns, ["h", "copies", "t", "place", "bytes"])
 
 
-def digests(t: int, raw: np.ndarray, h, copies, place, low, high) -> Iterator[pa.RecordBatch]:
-    check = place & ((1 << CHECK_BITS) - 1)
+def digests(text: tuple[int, pa.Buffer], h, copies, place, low, high, anchor) -> Iterator[pa.RecordBatch]:
+    t, body = text
+    raw = np.frombuffer(body, np.uint8)
     sizes = high - low + 1
     start = np.repeat(low - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
     columns = [
@@ -371,7 +371,7 @@ def digests(t: int, raw: np.ndarray, h, copies, place, low, high) -> Iterator[pa
         pa.array(RangeHash(raw, 1).of(start, start + LENGTH).view(np.int64)),
         pa.array(np.repeat(copies, sizes), pa.int32()),
         pa.array(np.full(len(start), t)),
-        pa.array(pack(start, start, np.repeat(check, sizes))),
+        pa.array(pack(start, start, np.zeros_like(start), np.repeat(own_bits(place), sizes))),
     ]
     yield pa.RecordBatch.from_arrays(columns, ["one", "two", "copies", "t", "place"])
 
@@ -381,9 +381,9 @@ def compare(rows: DataFrame) -> DataFrame:
 
     def batch_of(held: list[pa.Table]) -> pa.RecordBatch:
         table = pa.concat_tables(held)
-        h, copies, t, place, anchor = (table.column(i).to_numpy() for i in range(5))
-        raw, bounds = utf8(table.column(5).combine_chunks())
-        low, high, check = unpack(place)
+        h, copies, t, place = (table.column(i).to_numpy() for i in range(4))
+        raw, bounds = utf8(table.column(4).combine_chunks())
+        low, high, anchor, check = unpack(place)
         n = len(h)
         size = np.diff(bounds)
         right_size, left_size = size - anchor, anchor
@@ -397,7 +397,7 @@ def compare(rows: DataFrame) -> DataFrame:
                 starts = np.sort(low[i] + anchor[i] - offsets[i])
                 first = starts[np.concatenate([[True], np.diff(starts) > 1])]
                 last = starts[np.concatenate([np.diff(starts) > 1, [True]])]
-                out_place.append(pack(first, last, check[i]))
+                out_place.append(pack(first, last, np.zeros_like(first), check[i]))
                 out_t.append(np.full(len(first), t[i]))
         columns = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (out_t, out_place)]
         return pa.RecordBatch.from_arrays(columns, ["t", "place"])
@@ -495,8 +495,8 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", content: bo
                 if copies[i] > 1 and len(body) >= LENGTH:
                     cut = np.array([[0, len(body)]])
                 elif places.is_valid:
-                    low, high, check = unpack(places.values.to_numpy())
-                    own = check == (checks[i] & ((1 << CHECK_BITS) - 1))
+                    low, high, _, check = unpack(places.values.to_numpy())
+                    own = check == own_bits(checks[i])
                     cut = joined_runs(low[own], high[own] + LENGTH)
                 else:
                     cut = np.zeros((0, 2), np.int64)
