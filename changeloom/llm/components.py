@@ -12,8 +12,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of `edges` (a long, b long); the root is the least node.
 
     Each round hangs the neighbours of a node on the least of them, first the
-    larger ones, then the smaller ones. Minima are combined before the shuffle and
-    joined back, so a node with many edges is split like any skewed join. A round
+    larger ones, then the smaller ones. Minima are combined before the shuffle, written
+    and joined back, so a node with many edges is split like any skewed join. A round
     is written to the shared folder; the number of rounds grows as the logarithm
     of the longest path.
     """
@@ -21,10 +21,10 @@ def components(edges: DataFrame) -> DataFrame:
     mark = fingerprint(stars)
     while mark[0]:
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = store(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         larger = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        larger = larger.where("a <> b").distinct()
-        lowest = larger.groupBy("a").agg(F.min("b").alias("m"))
+        larger = store(larger.where("a <> b").distinct(), "larger")
+        lowest = store(larger.groupBy("a").agg(F.min("b").alias("m")), "lowest")
         smaller = larger.join(lowest, "a")
         hung = smaller.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(smaller.select("a", F.col("m").alias("b")))
         stars = store(hung.where("a <> b").distinct(), "edges")

@@ -16,12 +16,17 @@ from pyspark.sql import functions as F
 from changeloom.session import shared_dir
 
 # Characters of text that are held as arrays at once inside a task.
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 19
+
+# Rows of an Arrow batch: texts are long, and a task holds a batch several times over.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this library to the executors, once per context."""
+    """Send this library to the executors, once per context, and keep Arrow batches of texts small."""
     context = spark.sparkContext
+    if not context.getConf().contains(BATCH_SETTING):
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     if getattr(context, "_changeloom_shipped", False):
         return
     root = Path(__file__).resolve().parent.parent

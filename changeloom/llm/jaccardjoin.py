@@ -42,7 +42,7 @@ HASHES = BANDS * ROWS
 CHUNK = 32
 BUCKET = 256
 FAMILY = 128
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 # Columns of a 0/1 block matrix at once.
 WIDTH = 1 << 14
 
@@ -218,7 +218,8 @@ def candidate_edges(classes: DataFrame) -> DataFrame:
     word = lambda i: F.conv(F.hex(F.substring("sig", 8 * i + 1, 8)), 16, -10).cast("long")
     bands = F.array(*[F.struct(F.lit(i).alias("band"), word(i).alias("value")) for i in range(BANDS)])
     rows = classes.where("n > 0").select("node", F.inline(bands))
-    counts = rows.groupBy("band", "value").agg(F.count("*").alias("size")).where("size > 1")
+    # Written first: a join of two plain shuffles can be split where a bucket is crowded.
+    counts = store(rows.groupBy("band", "value").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     members = rows.join(counts, ["band", "value"])
     members = members.join(classes.select("node", "sig"), "node")
     slim = members.select("band", "value", "size", "node", "sig")
@@ -255,7 +256,7 @@ def verified(classes: DataFrame, families: DataFrame, docs: DataFrame, text: str
     `links` are the documents of other classes that `node` is linked to in one
     pair of blocks; `other` is the least class connected to it there, or null.
     """
-    sizes = families.groupBy("root").agg(F.count("*").alias("size"))
+    sizes = store(families.groupBy("root").agg(F.count("*").alias("size")), "sizes")
     wanted = families.join(sizes, "root").join(classes.select("node", "copies", "t", "check"), "node")
     body = text_of(docs, text)
     texts = docs.select(F.xxhash64(body).alias("t"), F.xxhash64(F.lit("second"), body).alias("check"), body.alias("body"))
@@ -333,7 +334,8 @@ def join_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     slim = classes.select("node", "c1", "c2", "copies", "least", "n")
     joined = slim.join(near, "node", "left").join(counts, "node", "left")
     joined = joined.withColumn("root", F.coalesce("root", "node"))
-    heads = joined.groupBy("root").agg(F.min("least").alias("class_id"))
+    joined = store(joined, "joined-classes")
+    heads = store(joined.groupBy("root").agg(F.min("least").alias("class_id")), "heads")
     named = joined.join(heads, "root")
     # Texts without words are one class without links: there is nothing to compare.
     own = F.when(F.col("n") > 0, F.col("copies") - 1).otherwise(0)

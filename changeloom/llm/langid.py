@@ -35,7 +35,7 @@ MAX_LANGUAGES = 256
 UNKNOWN = "und"
 # Documents below this posterior are rejected by `keep`.
 LEAST_SCORE = 0.5
-BLOCK = 1 << 19
+BLOCK = 1 << 17
 
 
 @cache

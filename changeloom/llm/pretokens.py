@@ -20,7 +20,7 @@ OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 # The white space of the pattern.
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 # Pieces kept per Python worker before the table starts anew.
-TABLE_PIECES = 1_500_000
+TABLE_PIECES = 1_000_000
 
 
 @cache

@@ -178,6 +178,7 @@ def judge(
     rows = store(metrics(measured(docs, key, text, stratum)).withColumn("base_failed", base_failed()), "quality")
     marks = labels.where(F.col(quality).isNotNull() & F.col(key).isNotNull())
     good = marks.groupBy(F.col(key).alias("labelled")).agg(F.min(quality).alias("good")).where(F.col("good") == 1)
+    good = store(good, "good")
     holdout = rows.where(~F.col("base_failed")).join(good, F.col(key) == F.col("labelled"), "left_semi")
     limits = cutoffs(holdout)
     judged = rows.join(limits, F.col("stratum").eqNullSafe(F.col("of")), "left")

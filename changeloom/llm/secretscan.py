@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm.frames import text_of
+from changeloom.llm.frames import store, text_of
 from changeloom.session import shared_dir
 
 
@@ -152,7 +152,8 @@ def with_findings(versions: DataFrame, text: str = "text", ledger: str | None =
     spark = versions.sparkSession
     ledger = ledger or shared_dir(spark, "secret-ledger")
     scan(versions, ledger, rules, text)
-    hits = findings(read_ledger(spark, ledger), rules)
+    # Written first: the join with the paths can then be split at a blob with many of them.
+    hits = store(findings(read_ledger(spark, ledger), rules), "findings")
     paths = versions.select(F.struct("*").alias("row"), F.sha2(text_of(versions, text), 256).alias("blob"))
     return paths.join(hits, "blob", "left")
 

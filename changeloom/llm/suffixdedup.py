@@ -14,8 +14,11 @@ anchor form a context.
    (multikey quicksort down to SHALLOW bytes, blind tries for suffixes that still
    agree), which gives suffix arrays with the lengths of common prefixes. A string
    is repeated where another context shares its part before and after the anchor.
-3. Anchors with over GROUP contexts never meet in one task: their strings are
-   counted by 128-bit digests, combined before the shuffle.
+3. Anchors with over GROUP contexts never meet in one task. Their contexts are cut
+   into pieces of PIECE starts; a piece whose common bytes occur once ends here,
+   one that occurs whole elsewhere is repeated, and only the strings of the others
+   are counted one by one. All counts are of 128-bit digests and are combined
+   before the shuffle.
 
 Equal texts are one text with a multiplicity, so a group of copies costs one text
 per input split. Hash ties only add comparisons in step 2; contexts are told
@@ -30,11 +33,11 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.llm.frames import RangeHash, blocks, mixed, shuffle_partitions, store, text_of, utf8
@@ -43,6 +46,7 @@ LENGTH = 200
 GRAM = 32
 SHALLOW = 48
 GROUP = 4096
+PIECE = 8
 BLOCK = 1 << 18
 # Places of an anchor within a string.
 REACH = LENGTH - GRAM
@@ -322,8 +326,8 @@ def anchor_rows(texts: DataFrame) -> DataFrame:
     return source.mapInArrow(run, "h long, d long, copies int, t long, place long")
 
 
-def context_rows(texts: DataFrame, wanted: DataFrame, windows: bool) -> DataFrame:
-    """Bytes around the wanted anchors, or digests of all their strings."""
+def context_rows(texts: DataFrame, wanted: DataFrame, make: Callable, shape: str) -> DataFrame:
+    """What `make` makes of the bytes around the wanted anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,18 +340,19 @@ def context_rows(texts: DataFrame, wanted: DataFrame, windows: bool) -> DataFram
                 own = (check == own_bits(checks[i])) & (high + LENGTH <= len(bodies[i].as_buffer()))
                 if own.any():
                     text = texts_here[i], bodies[i].as_buffer()
-                    yield from (digests if windows else contexts)(text, h[own], copies[own], place[own], low[own], high[own], anchor[own])
+                    yield make(text, h[own], copies[own], place[own], low[own], high[own], anchor[own])
 
     lists = wanted.groupBy("t").agg(F.collect_list(F.struct("h", "copies", "place")).alias("rows"))
     joined = texts.join(lists, "t").select("t", "check", F.encode("body", "utf-8").alias("body"), "rows")
-    shape = "one long, two long, copies int, t long, place long" if windows else CONTEXT
     return joined.mapInArrow(run, shape)
 
 
+PIECES = "h long, h2 long, d long, copies int, t long, place long"
+STRINGS = "one long, two long, copies int, t long, place long"
 CONTEXT = "h long, copies int, t long, place long, bytes binary"
 
 
-def contexts(text: tuple[int, pa.Buffer], h, copies, place, low, high, anchor) -> Iterator[pa.RecordBatch]:
+def contexts(text: tuple[int, pa.Buffer], h, copies, place, low, high, anchor) -> pa.RecordBatch:
     t, body = text
     data = body.to_pybytes()
     regions = [data[a : b + LENGTH] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
@@ -358,10 +363,42 @@ def contexts(text: tuple[int, pa.Buffer], h, copies, place, low, high, anchor) -
         pa.array(place),
         pa.array(regions, pa.binary()),
     ]
-    yield pa.RecordBatch.from_arrays(columns, ["h", "copies", "t", "place", "bytes"])
+    return pa.RecordBatch.from_arrays(columns, ["h", "copies", "t", "place", "bytes"])
 
 
-def digests(text: tuple[int, pa.Buffer], h, copies, place, low, high, anchor) -> Iterator[pa.RecordBatch]:
+def pieces(text: tuple[int, pa.Buffer], h, copies, place, low, high, anchor) -> pa.RecordBatch:
+    """Pieces of contexts: digest of the bytes common to all strings of the piece, and of all its bytes.
+
+    Pieces are cut at multiples of PIECE bytes before the anchor, so equal strings lie in
+    pieces with equal common bytes.
+    """
+    t, body = text
+    raw = np.frombuffer(body, np.uint8)
+    one, two = RangeHash(raw, 0), RangeHash(raw, 1)
+    at = low + anchor
+    far, near = anchor // PIECE, (at - high) // PIECE
+    counts = far - near + 1
+    row = np.repeat(np.arange(len(h)), counts)
+    cut = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts) + near[row]
+    at = at[row]
+    first = np.maximum(low[row], at - (cut + 1) * PIECE + 1)
+    last = np.minimum(high[row], at - cut * PIECE)
+    inner, outer = at - cut * PIECE, at - (cut + 1) * PIECE + 1 + LENGTH
+    shape = mixed((cut * 4096 + (at - first) * 16 + (last - first)).astype(np.uint64))
+    aside = mixed(cut.astype(np.uint64) + np.uint64(11))
+    columns = [
+        pa.array((one.of(inner, outer) + aside).view(np.int64)),
+        pa.array((two.of(inner, outer) + aside).view(np.int64)),
+        pa.array(mixed(two.of(first, last + LENGTH) + shape).view(np.int64)),
+        pa.array(copies[row], pa.int32()),
+        pa.array(np.full(len(row), t)),
+        pa.array(pack(first, last, at - first, own_bits(place)[row])),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["h", "h2", "d", "copies", "t", "place"])
+
+
+def digests(text: tuple[int, pa.Buffer], h, copies, place, low, high, anchor) -> pa.RecordBatch:
+    """Digest of every string of the contexts."""
     t, body = text
     raw = np.frombuffer(body, np.uint8)
     sizes = high - low + 1
@@ -373,7 +410,7 @@ def digests(text: tuple[int, pa.Buffer], h, copies, place, low, high, anchor) ->
         pa.array(np.full(len(start), t)),
         pa.array(pack(start, start, np.zeros_like(start), np.repeat(own_bits(place), sizes))),
     ]
-    yield pa.RecordBatch.from_arrays(columns, ["one", "two", "copies", "t", "place"])
+    return pa.RecordBatch.from_arrays(columns, ["one", "two", "copies", "t", "place"])
 
 
 def compare(rows: DataFrame) -> DataFrame:
@@ -442,31 +479,41 @@ def fill(table: np.ndarray, raw: np.ndarray, start: np.ndarray, size: np.ndarray
     table[row, column] = raw[start[row] + step * column]
 
 
-def repeated(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The table of different texts, and (t, place) of their repeated strings."""
-    texts = distinct_texts(docs, text)
-    rows = anchor_rows(texts)
-    seen = rows.groupBy("h").agg(F.sum("copies").alias("size"), F.min("d").alias("d_low"), F.max("d").alias("d_high"))
-    shared = seen.where(F.col("size") > 1)
-    same = F.col("d_low") == F.col("d_high")
+def settle(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(t, place) that is repeated as a whole, and one row of each context that must be compared.
+
+    `rows` share `keys` if they may have a string in common and `d` if they are
+    equal. What is joined is written first, so a crowded key can be split.
+    """
+    seen = rows.groupBy(*keys).agg(F.sum("copies").alias("size"), F.min("d").alias("d_low"), F.max("d").alias("d_high"))
+    same = (F.col("d_low") == F.col("d_high")).alias("same")
+    shared = store(seen.where(F.col("size") > 1).select(*keys, same), "shared")
     # Texts with copies lose everything; their anchors are only there to be compared with.
-    flagged = rows.join(shared.select("h", "size", same.alias("same")), "h").where(~F.col("same") | (F.col("copies") < 2))
-    flagged = store(flagged, "anchors")
+    flagged = store(rows.join(shared, keys).where(~F.col("same") | (F.col("copies") < 2)), "anchors")
     settled = flagged.where(F.col("same")).select("t", "place")
     unsettled = flagged.where(~F.col("same"))
-    different = unsettled.groupBy("h", "d", "size").agg(
-        F.sum("copies").alias("copies"), F.min(F.struct("t", "place")).alias("one")
-    )
-    different = store(different.select("h", "d", "size", F.least("copies", F.lit(2)).cast("int").alias("copies"), "one.*"), "contexts")
-    twice = different.where(F.col("copies") > 1).select("h", "d")
-    again = unsettled.where(F.col("copies") < 2).join(twice, ["h", "d"]).select("t", "place")
-    small = different.where(F.col("size") <= GROUP)
-    parts = [settled, again, compare(context_rows(texts, small, False))]
-    crowded = different.where(F.col("size") > GROUP)
+    different = unsettled.groupBy(*keys, "d").agg(F.sum("copies").alias("copies"), F.min(F.struct("t", "place")).alias("one"))
+    different = store(different.select(*keys, "d", F.least("copies", F.lit(2)).cast("int").alias("copies"), "one.*"), "contexts")
+    twice = different.where(F.col("copies") > 1).select(*keys, "d")
+    again = unsettled.where(F.col("copies") < 2).join(twice, [*keys, "d"]).select("t", "place")
+    return settled.unionByName(again), different
+
+
+def repeated(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The table of different texts, and (t, place) of their repeated strings."""
+    texts = distinct_texts(docs, text)
+    settled, different = settle(anchor_rows(texts), ["h"])
+    crowded = store(different.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select("h"), "crowded")
+    small = different.join(crowded, "h", "left_anti")
+    parts = [settled, compare(context_rows(texts, small, contexts, CONTEXT))]
     if not crowded.isEmpty():
-        strings = store(context_rows(texts, crowded, True), "strings")
+        crowd = different.join(crowded, "h", "left_semi")
+        cut = store(context_rows(texts, crowd, pieces, PIECES), "pieces")
+        whole, open_ = settle(cut, ["h", "h2"])
+        strings = store(context_rows(texts, open_, digests, STRINGS), "strings")
         counts = strings.groupBy("one", "two").agg(F.sum("copies").alias("n")).where(F.col("n") > 1)
-        parts.append(strings.join(counts, ["one", "two"]).where(F.col("copies") < 2).select("t", "place"))
+        found = strings.where(F.col("copies") < 2).join(store(counts, "counts"), ["one", "two"])
+        parts += [whole, found.select("t", "place")]
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
