@@ -35,7 +35,7 @@ WINDOW = 13
 # A document is contaminated if at least 1/SHARE of its words are hit.
 SHARE = 20
 ITEM_BLOCK_BYTES = 16 << 20
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 19
 
 
 def _letters() -> np.ndarray:

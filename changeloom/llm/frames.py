@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from changeloom.session import shared_dir
 
 # Characters of text that are held as arrays at once inside a task.
-BLOCK_CHARS = 1 << 19
+BLOCK_CHARS = 1 << 17
 
 # Rows of an Arrow batch: texts are long, and a task holds a batch several times over.
-BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "500"
 
 
 def ship(spark: SparkSession) -> None:

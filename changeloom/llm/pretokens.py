@@ -20,7 +20,7 @@ OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 # The white space of the pattern.
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 # Pieces kept per Python worker before the table starts anew.
-TABLE_PIECES = 1_000_000
+TABLE_PIECES = 500_000
 
 
 @cache
@@ -72,18 +72,45 @@ def piece_starts(codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+class PieceTable:
+    """Ids of pieces by hash: ordered arrays, a few tens of bytes a piece."""
+
+    def __init__(self):
+        self.keys = np.zeros(0, np.uint64)
+        self.checks = np.zeros(0, np.uint64)
+        self.at = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int32)
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, at: np.ndarray, size: np.ndarray) -> None:
+        where = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, where, keys)
+        self.checks = np.insert(self.checks, where, checks)
+        self.at = np.insert(self.at, where, at)
+        self.size = np.insert(self.size, where, size)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are known, and the slot of each."""
+        slot = np.searchsorted(self.keys, keys)
+        if not len(self.keys):
+            return np.zeros(len(keys), bool), slot
+        slot = np.minimum(slot, len(self.keys) - 1)
+        return self.keys[slot] == keys, slot
+
+
 class PieceEncoder:
-    """Ids of texts, from a function that encodes single pieces."""
+    """Ids of texts, from a function that encodes single pieces.
+
+    New pieces go to a small table, which joins the large one when it has RECENT of them.
+    """
+
+    RECENT = 40_000
 
     def __init__(self, encode: Callable[[list[str]], list[Sequence[int]]], limit: int = TABLE_PIECES):
         self.encode, self.limit = encode, limit
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.checks = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
+        self.main, self.recent = PieceTable(), PieceTable()
         self.ids = np.zeros(1 << 16, np.int32)
         self.used = 0
 
@@ -92,16 +119,21 @@ class PieceEncoder:
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         total = int(sizes.sum())
         if self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), total), np.int32)])
-        flat = np.fromiter((i for f in found for i in f), np.int32, total)
-        self.ids[self.used : self.used + total] = flat
-        starts = self.used + np.cumsum(sizes) - sizes
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids) // 2, total), np.int32)])
+        self.ids[self.used : self.used + total] = np.fromiter((i for f in found for i in f), np.int32, total)
+        self.recent.add(keys, checks, self.used + np.cumsum(sizes) - sizes, sizes)
         self.used += total
-        where = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, where, keys)
-        self.checks = np.insert(self.checks, where, checks)
-        self.at = np.insert(self.at, where, starts)
-        self.size = np.insert(self.size, where, sizes)
+
+    def _places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each key is known, and its check, first id and number of ids."""
+        out = [np.zeros(len(keys), bool), np.zeros(len(keys), np.uint64), np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)]
+        for table in (self.main, self.recent):
+            known, slot = table.find(keys)
+            slot = slot[known]
+            out[0] |= known
+            for values, column in zip(out[1:], (table.checks, table.at, table.size), strict=True):
+                values[known] = column[slot]
+        return tuple(out)
 
     def block(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids start (and the end)."""
@@ -111,29 +143,28 @@ class PieceEncoder:
         key = RangeHash(codes, 0).of(starts, ends)
         check = RangeHash(codes, 1).of(starts, ends)
         different, one, which = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.keys) > self.limit:
+        if len(self.recent.keys) > self.RECENT:
+            self.main.add(self.recent.keys, self.recent.checks, self.recent.at, self.recent.size)
+            self.recent = PieceTable()
+        if len(self.main.keys) > self.limit:
             self.clear()
-        slot = np.searchsorted(self.keys, different)
-        known = np.zeros(len(different), bool)
-        inside = slot < len(self.keys)
-        known[inside] = self.keys[slot[inside]] == different[inside]
+        known, seen, at, size = self._places(different)
         new = np.flatnonzero(~known)
         if len(new):
             joined = "".join(texts)
             pieces = [joined[a:b] for a, b in zip(starts[one[new]], ends[one[new]], strict=True)]
             self._learn(different[new], check[one[new]], pieces)
-            slot = np.searchsorted(self.keys, different)
-        slot = slot[which]
-        if not np.array_equal(self.checks[slot], check):
+            _, seen, at, size = self._places(different)
+        if not np.array_equal(seen[which], check):
             # Two pieces share a 64-bit hash: encode this block piece by piece.
             joined = "".join(texts)
             found = self.encode([joined[a:b] for a, b in zip(starts, ends, strict=True)])
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             ids = np.fromiter((i for f in found for i in f), np.int32, int(sizes.sum()))
         else:
-            sizes = self.size[slot]
+            sizes = size[which]
             total = int(sizes.sum())
-            ids = self.ids[np.repeat(self.at[slot] - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)]
+            ids = self.ids[np.repeat(at[which] - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)]
         before = np.zeros(len(starts) + 1, np.int64)
         np.cumsum(sizes, out=before[1:])
         return ids, before[np.searchsorted(starts, bounds)]
