@@ -13,10 +13,19 @@ def mean_seconds(millis_sum: Column | str, count: Column | str) -> Column:
     return F.when(n > 0, total.cast("double") / (n * 1000.0))
 
 
-def pooled_stddev(count: str, mean: str, variance: str) -> Column:
-    """Sample deviation of the union of groups with (count, mean, var_pop)."""
-    n = F.sum(count)
-    weighted = F.sum(F.col(count) * F.col(mean))
-    spread = F.sum(F.col(count) * (F.col(variance) + F.col(mean) * F.col(mean)))
-    squares = F.greatest(spread - weighted * weighted / n, F.lit(0.0))
-    return F.when(n > 1, F.sqrt(squares / (n - 1)))
+def squared(millis: str) -> Column:
+    """Square of whole milliseconds, wide enough to be summed exactly."""
+    value = F.col(millis).cast("long")
+    return (value * value).cast("decimal(28,0)")
+
+
+def stddev_seconds(count: str, millis_sum: str, squares_sum: str) -> Column:
+    """Sample deviation in seconds over groups with (count, sum, sum of squares) of milliseconds.
+
+    n * sum(x^2) - sum(x)^2 is an exact integer, so close values do not cancel.
+    """
+    n = F.sum(count).cast("decimal(10,0)")
+    total = F.sum(millis_sum).cast("decimal(18,0)")
+    spread = n * F.sum(squares_sum).cast("decimal(27,0)") - total * total
+    rows = F.sum(count).cast("double")
+    return F.when(rows > 1, F.sqrt(spread.cast("double") / (rows * (rows - 1))) / 1000.0)

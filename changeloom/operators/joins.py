@@ -93,6 +93,13 @@ def _join(left, right, on, how, residual):
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
 
 
+def slices_per_version(newest: int | None, lowest: int | None, chunk: int) -> int:
+    """Most slices that one version can be copied to; Spark's estimate ignores those copies."""
+    if newest is None or lowest is None:
+        return 1
+    return int(newest) // chunk - int(lowest) // chunk + 1
+
+
 def point_in_time_join(
     facts: DataFrame,
     dim: DataFrame,
@@ -108,14 +115,15 @@ def point_in_time_join(
 
     Versions are keyed by the `chunk`-wide slices of the sequence they touch, so
     a fact is compared with at most `chunk` versions of its key however many the
-    key has. Versions are cut to the span of the facts before slicing. Span and
+    key has. A null `valid_to` is open. Versions are cut to the span of the facts before
+    slicing, and are broadcast only if all their copies fit. Span and
     hot keys are read from `keys_from` where the facts are costly to compute.
     """
     spanned = facts if keys_from is None else keys_from
-    lowest = spanned.agg(F.min(seq)).scalar()
-    newest = spanned.agg(F.max(seq)).scalar()
-    first = F.greatest(F.col(valid_from), lowest)
-    last = F.least(F.col(valid_to), newest)
+    lowest, newest = spanned.agg(F.min(seq), F.max(seq)).first()
+    kind = spanned.schema[seq].dataType
+    first = F.greatest(F.col(valid_from), F.lit(lowest).cast(kind))
+    last = F.least(F.col(valid_to), F.lit(newest).cast(kind))
 
     def slice_of(position: Column) -> Column:
         return F.floor(position / chunk).cast("long")
@@ -128,7 +136,7 @@ def point_in_time_join(
         sliced,
         [*on, "_chunk"],
         "left",
-        F.col(seq).between(F.col(valid_from), F.col(valid_to)),
-        limit,
+        (F.col(seq) >= F.col(valid_from)) & (F.col(valid_to).isNull() | (F.col(seq) <= F.col(valid_to))),
+        limit // slices_per_version(newest, lowest, chunk),
         keys_from=spanned.withColumn("_chunk", slice_of(F.col(seq))),
     ).drop("_chunk")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from changeloom.operators.ordered import neighbours
 
-# Fixed value: upper bound of the version that is still valid.
+# Fixed value: upper bound of the version that is still valid, in the models.
 OPEN_END = 999999
 
 
@@ -38,18 +38,17 @@ def scd2_islands(
     key: str,
     seq: str,
     attrs: Sequence[str],
-    open_end: int = OPEN_END,
+    open_end: int | None = None,
     chunk: int | None = None,
 ) -> DataFrame:
     """Versions of `attrs` per key from one observation per (key, seq).
 
     Consecutive equal observations form one version. Columns added:
     `_valid_from_seq`, `_valid_to_seq_observed` (last observation),
-    `_valid_to_seq_excl` (next start - 1, inclusive; `open_end` when current)
-    and `is_current`.
+    `_valid_to_seq_excl` (next start - 1, inclusive; `open_end`, null by default,
+    when current) and `is_current`.
 
-    With one row per sequence number below `open_end`, a key has fewer than
-    `open_end` rows in one window. For a wider sequence pass `chunk`.
+    A window holds the rows of one key; `chunk` bounds it where a key has many.
     """
     around = neighbours(observed, [key], seq, attrs, chunk)
 
@@ -81,6 +80,6 @@ def scd2_islands(
         *attrs,
         F.col(seq).alias("_valid_from_seq"),
         until.alias("_valid_to_seq_observed"),
-        F.coalesce(following - 1, F.lit(open_end)).alias("_valid_to_seq_excl"),
+        F.coalesce(following - 1, F.lit(open_end).cast(observed.schema[seq].dataType)).alias("_valid_to_seq_excl"),
         following.isNull().alias("is_current"),
     )

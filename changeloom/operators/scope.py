@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from changeloom.operators.joins import BROADCAST_BYTES, lookup_join
 
@@ -16,11 +17,36 @@ def affected_groups(changes: Sequence[DataFrame], on: Sequence[str]) -> DataFram
     return reduce(lambda a, b: a.unionByName(b), keyed).distinct()
 
 
+def split_by_null(df: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose group is complete, and rows with a null in it."""
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
+    return df.where(known), df.where(~known)
+
+
+def match_groups(
+    df: DataFrame, affected: DataFrame, on: Sequence[str], how: str, limit: int
+) -> DataFrame:
+    """Semi or anti join on groups in which null equals null.
+
+    Complete groups join on plain equality, with a predicate on the counted groups:
+    that is what lets Spark prune the partitions of `df` to them. Groups with a
+    null are joined apart, null-safely.
+    """
+    on = list(on)
+    counted = affected.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where("_n > 0").select(*on)
+    rows, odd_rows = split_by_null(df, on)
+    groups, odd_groups = split_by_null(counted, on)
+    joined = lookup_join(rows, groups, on, how, limit=limit)
+    renamed = odd_groups.withColumnsRenamed({c: f"_g_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in on])
+    return joined.unionByName(odd_rows.join(renamed, same, how))
+
+
 def scope_to(
     df: DataFrame, affected: DataFrame, on: Sequence[str], limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Rows of `df` in an affected group (semi-join on the typed columns)."""
-    return lookup_join(df, affected.select(*on), on, "left_semi", limit=limit)
+    """Rows of `df` in an affected group (semi-join on the typed columns; null equals null)."""
+    return match_groups(df, affected.select(*on), on, "left_semi", limit)
 
 
 def replace_groups(
@@ -34,5 +60,5 @@ def replace_groups(
 
     A group that no longer has input rows disappears.
     """
-    kept = lookup_join(old, affected.select(*on), on, "left_anti", limit=limit)
+    kept = match_groups(old, affected.select(*on), on, "left_anti", limit)
     return kept.unionByName(recomputed, allowMissingColumns=True)

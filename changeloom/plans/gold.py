@@ -8,11 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.functions.aggregates import mean_seconds, pooled_stddev
+from changeloom.functions.aggregates import mean_seconds, squared, stddev_seconds
 from changeloom.functions.clean import race_seq, seq_round, seq_season
 from changeloom.operators.joins import lookup_join, point_in_time_join
 from changeloom.operators.quality import Grain, NotNull, Rule
-from changeloom.operators.scd2 import one_row_per_seq, scd2_islands
+from changeloom.operators.scd2 import OPEN_END, one_row_per_seq, scd2_islands
 from changeloom.operators.scope import affected_groups, replace_groups, scope_to
 from changeloom.operators.winners import group_winner, pick_max
 from changeloom.schemas import RACE
@@ -44,8 +44,7 @@ def fact_driver_season_summary(t: Tables) -> DataFrame:
         _n().alias("_n"),
         F.min("lap_time_ms").alias("_min"),
         F.sum("lap_time_ms").alias("_sum"),
-        F.avg("lap_time_s").alias("_mean"),
-        F.var_pop("lap_time_s").alias("_var"),
+        F.sum(squared("lap_time_ms")).alias("_squares"),
         F.count_if("is_fastest_lap").alias("_best"),
         F.count_if(F.col("compound") == "SOFT").alias("_soft"),
         F.count_if(F.col("compound") == "MEDIUM").alias("_medium"),
@@ -56,7 +55,7 @@ def fact_driver_season_summary(t: Tables) -> DataFrame:
         F.sum("_n").alias("total_laps"),
         (F.min("_min").cast("double") / 1000.0).alias("fastest_lap_s"),
         mean_seconds(F.sum("_sum"), F.sum("_n")).alias("avg_lap_s"),
-        pooled_stddev("_n", "_mean", "_var").alias("lap_consistency_stddev"),
+        stddev_seconds("_n", "_sum", "_squares").alias("lap_consistency_stddev"),
         F.sum("_best").alias("personal_bests"),
         F.sum("_soft").alias("soft_laps"),
         F.sum("_medium").alias("medium_laps"),
@@ -178,7 +177,7 @@ def _dimension(results: DataFrame, key: str, attrs: list[str]) -> DataFrame:
         attrs,
         ["_telling", "event_id"],
     )
-    versions = scd2_islands(observed, key, "race_seq", attrs)
+    versions = scd2_islands(observed, key, "race_seq", attrs, open_end=OPEN_END)
     return _stamped(
         versions.select(
             key,

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from changeloom.operators.joins import estimated_bytes
 from changeloom.operators.quality import Rule, expect
 
 # Medallion namespaces.
 LAYERS = ("bronze", "silver", "gold")
 _READY = "_PUBLISHED"
-# Below this size a partitioned write is bound by the number of files.
-SMALL_TABLE_BYTES = 256 * 1024 * 1024
 
 
 def create_namespaces(spark: SparkSession, catalog: str | None = None) -> list[str]:
@@ -67,7 +66,16 @@ class Tables:
         number = self.version(name)
         if number is None:
             raise FileNotFoundError(self.path(name))
-        return self.spark.read.parquet(f"{self.path(name)}/v={number}")
+        target = f"{self.path(name)}/v={number}"
+        return self.spark.read.schema(self._schema(target)).parquet(target)
+
+    def _schema(self, target: str) -> T.StructType:
+        """Schema stored in the ready marker: a version without rows has no file to tell it."""
+        fs, marker = self._fs(f"{target}/{_READY}")
+        stream = fs.open(marker)
+        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        return T.StructType.fromJson(json.loads(text))
 
     def publish(
         self,
@@ -87,7 +95,9 @@ class Tables:
         written = self.spark.read.schema(df.schema).parquet(target)
         expect(view(written), rules, name)
         fs, marker = self._fs(f"{target}/{_READY}")
-        fs.create(marker, True).close()
+        stream = fs.create(marker, True)
+        stream.write(bytearray(df.schema.json().encode()))
+        stream.close()
         return written
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
@@ -105,17 +115,9 @@ class Tables:
 def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring rows of a partition together before a partitioned write.
 
-    A small table is spread by partition over all tasks, as creating its many
-    files is the work. In a larger one Spark sizes the tasks by bytes, so a
-    partition that outgrows a task is split.
+    Spark sizes the tasks by bytes, so a partition that outgrows a task is split.
     """
-    if not partition_by:
-        return df
-    size = estimated_bytes(df)
-    if size is not None and size <= SMALL_TABLE_BYTES:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return df.repartition(tasks, *partition_by)
-    return df.hint("rebalance", *partition_by)
+    return df.hint("rebalance", *partition_by) if partition_by else df
 
 
 def replace_partitions(staged: DataFrame, path: str, partition_by: Sequence[str]) -> None:

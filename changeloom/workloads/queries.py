@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from changeloom.functions.clean import clamp, race_seq, seq_round, seq_season
 from changeloom.operators import cdc, joins, quality, replay, scope, winners
 from changeloom.operators.ordered import neighbours
-from changeloom.operators.scd2 import one_row_per_seq, scd2_islands
+from changeloom.operators.scd2 import OPEN_END, one_row_per_seq, scd2_islands
 from changeloom.plans import gold, panel, silver
 from changeloom.plans.merge import merge_changes, read_live
 from changeloom.plans.refresh import refresh_all
@@ -136,7 +136,7 @@ def silver_results(spark, sf_dir):
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 4) for c in columns})
+    return df.withColumns({c: F.round(c, 9) for c in columns})
 
 
 @query
@@ -497,7 +497,7 @@ def _versions(spark, sf_dir) -> DataFrame:
     """Versions of each customer's order priority by day."""
     orders = _orders_by_day(spark, sf_dir)
     daily = one_row_per_seq(orders, "o_custkey", "day", ["o_orderpriority"], ["o_orderkey"])
-    return scd2_islands(daily, "o_custkey", "day", ["o_orderpriority"])
+    return scd2_islands(daily, "o_custkey", "day", ["o_orderpriority"], open_end=OPEN_END)
 
 
 def _orders_by_day(spark, sf_dir) -> DataFrame:
@@ -520,7 +520,7 @@ def scd2_versions_sliced(spark, sf_dir):
     daily = one_row_per_seq(
         _orders_by_day(spark, sf_dir), "o_custkey", "day", ["o_orderpriority"], ["o_orderkey"]
     )
-    return scd2_islands(daily, "o_custkey", "day", ["o_orderpriority"], chunk=256)
+    return scd2_islands(daily, "o_custkey", "day", ["o_orderpriority"], open_end=OPEN_END, chunk=256)
 
 
 @query

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from changeloom.functions.clean import elapsed_seconds
 from changeloom.operators import cdc, replay
 from changeloom.operators.joins import point_in_time_join
-from changeloom.operators.scd2 import one_row_per_seq, scd2_islands
+from changeloom.operators.scd2 import OPEN_END, one_row_per_seq, scd2_islands
 from changeloom.operators.winners import group_winner
 from changeloom.plans import gold, panel, silver
 
@@ -114,7 +114,7 @@ def team_history(spark, pairs):
 
 
 def versions(spark, pairs, chunk=None):
-    return scd2_islands(team_history(spark, pairs), "key", "seq", ["team"], chunk=chunk)
+    return scd2_islands(team_history(spark, pairs), "key", "seq", ["team"], open_end=OPEN_END, chunk=chunk)
 
 
 X12 = [

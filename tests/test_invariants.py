@@ -159,3 +159,55 @@ def test_versions_are_disjoint_and_cover_what_was_seen(spark):
     current = dim.where("is_current").groupBy("driver_code").count()
     assert current.where("count <> 1").count() == 0
     assert current.count() == dim.select("driver_code").distinct().count()
+
+
+def test_groups_with_a_null_are_scoped_and_replaced(spark):
+    from changeloom.operators.scope import replace_groups, scope_to
+
+    old = spark.createDataFrame([(1, 1, "a"), (1, None, "b"), (None, None, "c"), (2, 1, "d")], "g int, k int, v string")
+    affected = spark.createDataFrame([(1, None), (2, 1)], "g int, k int")
+    assert {r.v for r in scope_to(old, affected, ["g", "k"]).collect()} == {"b", "d"}
+    fresh = spark.createDataFrame([(1, None, "new")], "g int, k int, v string")
+    assert {r.v for r in replace_groups(old, affected, fresh, ["g", "k"]).collect()} == {"a", "c", "new"}
+
+
+def test_close_values_keep_their_deviation(spark):
+    from pyspark.sql import functions as F
+
+    from changeloom.functions.aggregates import squared, stddev_seconds
+
+    rows = spark.createDataFrame([("a", 3_500_000), ("a", 3_500_000), ("b", 3_500_001), ("b", 3_500_001)], "team string, ms int")
+    parts = rows.groupBy("team").agg(F.count("*").alias("n"), F.sum("ms").alias("s"), F.sum(squared("ms")).alias("q"))
+    found = parts.agg(stddev_seconds("n", "s", "q").alias("d")).first().d
+    assert abs(found - (1 / 3) ** 0.5 * 0.001) < 1e-12
+    same = parts.where("team = 'a'").agg(stddev_seconds("n", "s", "q").alias("d")).first().d
+    assert same == 0.0
+
+
+def test_open_versions_beyond_any_bound(spark):
+    from changeloom.operators.joins import point_in_time_join
+    from changeloom.operators.scd2 import scd2_islands
+
+    seen = spark.createDataFrame([("a", 10, "x"), ("a", 1_500_010, "y")], "k string, s long, v string")
+    versions = scd2_islands(seen, "k", "s", ["v"], chunk=1024)
+    facts = spark.createDataFrame([("a", 1_500_020), ("a", 11), ("a", 9)], "k string, at long")
+    joined = point_in_time_join(facts, versions.drop("_valid_to_seq_observed", "is_current"), ["k"], "at", "_valid_from_seq", "_valid_to_seq_excl")
+    assert {(r["at"], r.v) for r in joined.collect()} == {(1_500_020, "y"), (11, "x"), (9, None)}
+
+
+def test_a_published_table_without_rows_can_be_read(spark, folder):
+    from changeloom.sources.tables import Tables
+
+    store = Tables(spark, folder)
+    store.publish("none", spark.createDataFrame([], "a int, p int"), ["p"])
+    assert store.read("none").columns == ["a", "p"] and store.read("none").count() == 0
+
+
+def test_all_batches_are_counted(spark, folder):
+    from changeloom.streaming.bronze import append_stream, finish
+
+    spark.range(0, 2600).repartition(130).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    done = finish(append_stream(stream, f"{folder}/out", f"{folder}/checkpoint", []))
+    assert done["rows"] == spark.read.parquet(f"{folder}/out").count() == 2600
+    assert done["batches"] > 100
