@@ -129,13 +129,16 @@ def spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """For n members with edges (i, j), the least member connected to each."""
     root = np.arange(n)
     while len(i):
-        low = np.minimum(root[i], root[j])
-        np.minimum.at(root, i, low)
-        np.minimum.at(root, j, low)
-        root = root[root]
+        # Roots are hung on roots, so members that agree once go on agreeing.
+        p, q = root[i], root[j]
+        low = np.minimum(p, q)
+        np.minimum.at(root, p, low)
+        np.minimum.at(root, q, low)
+        while (root[root] != root).any():
+            root = root[root]
         open_ = root[i] != root[j]
         i, j = i[open_], j[open_]
-    return root[root] if n else root
+    return root
 
 
 SIGNED = "t long, check long, c1 long, c2 long, n int, sig binary"

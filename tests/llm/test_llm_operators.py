@@ -332,3 +332,16 @@ def test_pipeline_stages(spark, docs, texts):
     for _, stage in corpus_pipeline.STAGES:
         frame = stage(spark, frame, SF)
         assert frame.count() == 0
+
+
+def test_spanning_members_match_a_plain_union():
+    draw = random.Random(2)
+    for _ in range(300):
+        n = draw.randint(1, 30)
+        pairs = [(draw.randrange(n), draw.randrange(n)) for _ in range(draw.randint(0, n))]
+        group = list(range(n))
+        for a, b in pairs:
+            old, new = max(group[a], group[b]), min(group[a], group[b])
+            group = [new if g == old else g for g in group]
+        i, j = (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
+        assert jaccardjoin.spanning(n, i, j).tolist() == group
