@@ -77,9 +77,13 @@ def replay_schedule(
 
 
 def replay_summary(schedule: DataFrame, session: Sequence[str]) -> DataFrame:
-    """Events per session and kind, with the total paced waiting time."""
+    """Events per session and kind, with the total paced waiting time.
+
+    Waits are summed as whole microseconds, so the total does not depend on order.
+    """
     return schedule.groupBy(*session, "kind").agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if("missing_time").alias("missing_times"),
         F.max("at_ms").alias("last_ms"),
+        (F.sum(F.round(F.col("gap_s") * 1e6).cast("long")) / 1e6).alias("wait_s"),
     )

@@ -7,46 +7,148 @@ from pyspark.sql import types as T
 SESSION = ("season", "round", "session_type")
 RACE = ("season", "round")
 
-_TYPES = {
-    "int": T.IntegerType(),
-    "long": T.LongType(),
-    "float": T.FloatType(),
-    "string": T.StringType(),
-    "boolean": T.BooleanType(),
-    "timestamp": T.TimestampType(),
+# Names and types of the source columns, as Spark DDL.
+SOURCE_COLUMNS = {
+    "telemetry": """
+        event_id BIGINT NOT NULL,
+        season INT NOT NULL,
+        round INT NOT NULL,
+        session_type STRING NOT NULL,
+        driver_number STRING NOT NULL,
+        driver_code STRING,
+        team STRING,
+        lap_number INT,
+        session_time_ms BIGINT NOT NULL,
+        speed_kph FLOAT,
+        throttle_pct FLOAT,
+        brake BOOLEAN,
+        gear INT,
+        rpm FLOAT,
+        drs INT,
+        x_pos FLOAT,
+        y_pos FLOAT,
+        z_pos FLOAT,
+        ingested_at TIMESTAMP NOT NULL
+    """,
+    "laps": """
+        event_id BIGINT NOT NULL,
+        season INT NOT NULL,
+        round INT NOT NULL,
+        session_type STRING NOT NULL,
+        driver_number STRING NOT NULL,
+        driver_code STRING,
+        team STRING,
+        lap_number INT NOT NULL,
+        lap_time_ms BIGINT,
+        sector1_ms BIGINT,
+        sector2_ms BIGINT,
+        sector3_ms BIGINT,
+        compound STRING,
+        tyre_life INT,
+        is_personal_best BOOLEAN,
+        pit_in_time_ms BIGINT,
+        pit_out_time_ms BIGINT,
+        track_status STRING,
+        ingested_at TIMESTAMP NOT NULL
+    """,
+    "weather": """
+        event_id BIGINT NOT NULL,
+        season INT NOT NULL,
+        round INT NOT NULL,
+        session_type STRING NOT NULL,
+        session_time_ms BIGINT,
+        air_temp_c FLOAT,
+        humidity_pct FLOAT,
+        pressure_mbar FLOAT,
+        rainfall BOOLEAN,
+        track_temp_c FLOAT,
+        wind_direction INT,
+        wind_speed_ms FLOAT,
+        ingested_at TIMESTAMP NOT NULL
+    """,
+    "race_control": """
+        event_id BIGINT NOT NULL,
+        season INT NOT NULL,
+        round INT NOT NULL,
+        session_type STRING NOT NULL,
+        msg_time TIMESTAMP,
+        category STRING,
+        message STRING,
+        status STRING,
+        flag STRING,
+        scope STRING,
+        sector INT,
+        racing_number STRING,
+        lap_number INT,
+        ingested_at TIMESTAMP NOT NULL
+    """,
+    "track_status": """
+        event_id BIGINT NOT NULL,
+        season INT NOT NULL,
+        round INT NOT NULL,
+        session_type STRING NOT NULL,
+        session_time_ms BIGINT,
+        status_code STRING,
+        message STRING,
+        ingested_at TIMESTAMP NOT NULL
+    """,
+    "session_status": """
+        event_id BIGINT NOT NULL,
+        season INT NOT NULL,
+        round INT NOT NULL,
+        session_type STRING NOT NULL,
+        session_time_ms BIGINT,
+        status STRING,
+        ingested_at TIMESTAMP NOT NULL
+    """,
+    "results": """
+        event_id BIGINT NOT NULL,
+        season INT NOT NULL,
+        round INT NOT NULL,
+        session_type STRING NOT NULL,
+        driver_number STRING NOT NULL,
+        driver_code STRING,
+        full_name STRING,
+        team STRING,
+        team_color STRING,
+        position FLOAT,
+        classified_position STRING,
+        grid_position FLOAT,
+        q1_ms BIGINT,
+        q2_ms BIGINT,
+        q3_ms BIGINT,
+        race_time_ms BIGINT,
+        status STRING,
+        points FLOAT,
+        ingested_at TIMESTAMP NOT NULL
+    """,
+    "ingestion_jobs": """
+        id BIGINT NOT NULL,
+        season INT NOT NULL,
+        gp STRING NOT NULL,
+        session_type STRING NOT NULL,
+        driver STRING,
+        mode STRING NOT NULL,
+        speed FLOAT,
+        telemetry_limit INT,
+        status STRING NOT NULL,
+        pid INT,
+        log_path STRING,
+        error_message STRING,
+        created_at TIMESTAMP NOT NULL,
+        finished_at TIMESTAMP
+    """,
 }
-
-# Names and types of the source columns; "!" marks a required one.
-_PREFIX = "event_id long!, season int!, round int!, session_type string!"
-_SUFFIX = "ingested_at timestamp!"
-_COLUMNS = {
-    "telemetry": "driver_number string!, driver_code string, team string, lap_number int, "
-    "session_time_ms long!, speed_kph float, throttle_pct float, brake boolean, gear int, "
-    "rpm float, drs int, x_pos float, y_pos float, z_pos float",
-    "laps": "driver_number string!, driver_code string, team string, lap_number int!, "
-    "lap_time_ms long, sector1_ms long, sector2_ms long, sector3_ms long, compound string, "
-    "tyre_life int, is_personal_best boolean, pit_in_time_ms long, pit_out_time_ms long, "
-    "track_status string",
-    "weather": "session_time_ms long, air_temp_c float, humidity_pct float, "
-    "pressure_mbar float, rainfall boolean, track_temp_c float, wind_direction int, "
-    "wind_speed_ms float",
-    "race_control": "msg_time timestamp, category string, message string, status string, "
-    "flag string, scope string, sector int, racing_number string, lap_number int",
-    "track_status": "session_time_ms long, status_code string, message string",
-    "session_status": "session_time_ms long, status string",
-    "results": "driver_number string!, driver_code string, full_name string, team string, "
-    "team_color string, position float, classified_position string, grid_position float, "
-    "q1_ms long, q2_ms long, q3_ms long, race_time_ms long, status string, points float",
-}
-_JOBS = (
-    "id long!, season int!, gp string!, session_type string!, driver string, mode string!, "
-    "speed float, telemetry_limit int, status string!, pid int, log_path string, "
-    "error_message string, created_at timestamp!, finished_at timestamp"
-)
-_META = (
-    "__op string, __ts_ms long, __source_lsn long, __source_snapshot string, "
-    "__source_table string, __source_schema string, __deleted string"
-)
+# Columns that the log reader adds.
+CHANGE_COLUMNS = """
+    __op STRING,
+    __ts_ms BIGINT,
+    __source_lsn BIGINT,
+    __source_snapshot STRING,
+    __source_table STRING,
+    __source_schema STRING,
+    __deleted STRING
+"""
 
 # Source table of each dataset.
 SOURCE_TABLES = {
@@ -62,24 +164,14 @@ SOURCE_TABLES = {
 DATASETS = tuple(SOURCE_TABLES.values())
 
 
-def _struct(text: str) -> T.StructType:
-    fields = []
-    for item in text.split(","):
-        name, kind = item.split()
-        fields.append(T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")))
-    return T.StructType(fields)
-
-
 def source_schema(dataset: str) -> T.StructType:
     """Columns of a source table."""
-    if dataset == "ingestion_jobs":
-        return _struct(_JOBS)
-    return _struct(f"{_PREFIX}, {_COLUMNS[dataset]}, {_SUFFIX}")
+    return T.StructType.fromDDL(SOURCE_COLUMNS[dataset])
 
 
 def change_schema(dataset: str) -> T.StructType:
     """Columns of a flat change row; every column may be null on the wire."""
-    fields = source_schema(dataset).fields + _struct(_META).fields
+    fields = source_schema(dataset).fields + T.StructType.fromDDL(CHANGE_COLUMNS).fields
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from changeloom.operators.quality import Rule, expect
+from changeloom.sources.files import exists, locate, read_text, write_text
 
 # Medallion namespaces.
 LAYERS = ("bronze", "silver", "gold")
@@ -38,14 +39,8 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _fs(self, path: str):
-        jvm = self.spark._jvm
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return fs, hadoop_path
-
     def _numbers(self, name: str) -> list[int]:
-        fs, folder = self._fs(self.path(name))
+        fs, folder = locate(self.spark, self.path(name))
         if not fs.exists(folder):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(folder)]
@@ -54,8 +49,7 @@ class Tables:
     def version(self, name: str) -> int | None:
         """Newest ready version of a table."""
         for number in reversed(self._numbers(name)):
-            fs, marker = self._fs(f"{self.path(name)}/v={number}/{_READY}")
-            if fs.exists(marker):
+            if exists(self.spark, f"{self.path(name)}/v={number}/{_READY}"):
                 return number
         return None
 
@@ -71,11 +65,7 @@ class Tables:
 
     def _schema(self, target: str) -> T.StructType:
         """Schema stored in the ready marker: a version without rows has no file to tell it."""
-        fs, marker = self._fs(f"{target}/{_READY}")
-        stream = fs.open(marker)
-        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        stream.close()
-        return T.StructType.fromJson(json.loads(text))
+        return T.StructType.fromJson(json.loads(read_text(self.spark, f"{target}/{_READY}")))
 
     def publish(
         self,
@@ -94,10 +84,7 @@ class Tables:
         writer.parquet(target)
         written = self.spark.read.schema(df.schema).parquet(target)
         expect(view(written), rules, name)
-        fs, marker = self._fs(f"{target}/{_READY}")
-        stream = fs.create(marker, True)
-        stream.write(bytearray(df.schema.json().encode()))
-        stream.close()
+        write_text(self.spark, f"{target}/{_READY}", df.schema.json())
         return written
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:

@@ -22,6 +22,7 @@ from changeloom.sources.landing import file_format, pinned_schema, with_hour_fol
 from changeloom.sources.normalize import RAW_COLUMNS, for_driver, normalize
 from changeloom.sources.tables import Tables
 from changeloom.streaming import bronze as bronze_stream
+from changeloom.streaming.lakehouse import run_once
 from changeloom.streaming.silver import merge_stream
 from changeloom.functions import convert
 from changeloom.workloads.views import CHANGES, table
@@ -458,6 +459,29 @@ def refresh_all_models(spark, sf_dir):
     return bronze_stream.table_counts(tables)
 
 
+@query
+def refresh_late_datasets(spark, sf_dir):
+    """Laps arrive only after a first refresh that had none."""
+    root = shared_dir(spark, "lakehouse")
+    for names in (("results", "weather", "race_control"), ("laps",)):
+        tables = refresh_all(spark, root, {n: changes(spark, sf_dir, n) for n in names}, gate=False)
+    return tables["race_weekend_summary"]
+
+
+@query
+def pipeline_two_drains(spark, sf_dir):
+    """Landing to gold in two runs; the second lands updates and deletes."""
+    landing, root = shared_dir(spark, "landing"), shared_dir(spark, "lakehouse")
+    for late in (False, True):
+        for topic, spec in bronze_stream.topic_specs().items():
+            if spec.table in ("results", "laps", "weather", "race_control"):
+                rows = _as_change_rows(changes(spark, sf_dir, spec.table), spec.table)
+                rows = rows.where(_is_recent() if late else ~_is_recent())
+                rows.write.mode("append").format(file_format(spark, "avro")).save(f"{landing}/{topic}")
+        tables = run_once(spark, landing, root, gate=False)
+    return tables["race_weekend_summary"]
+
+
 # ---- joins ---------------------------------------------------------------
 
 
@@ -736,7 +760,7 @@ def panel_selector_values(spark, sf_dir):
 def first_samples_of_driver(spark, sf_dir):
     """One driver's first samples by session time, as in a limited load."""
     log = changes(spark, sf_dir, "telemetry")
-    return for_driver(log, "U7", 200).select("driver_code", "session_time_ms")
+    return for_driver(log, "U7", 25).select("driver_code", "session_time_ms")
 
 
 # ---- sources and sinks ---------------------------------------------------
@@ -874,6 +898,36 @@ def rebuilt_table(spark, sf_dir):
     return store.read("dim_team_scd2")
 
 
+@query
+def gate_keeps_old_version(spark, sf_dir):
+    """A version that breaks its grain is refused; readers still see the one before."""
+    store = Tables(spark, shared_dir(spark, "tables"))
+    teams = build_gold(spark, sf_dir, "dim_team_scd2")
+    rules = gold.MODELS["dim_team_scd2"].rules
+    written = store.publish("dim_team_scd2", teams, rules=rules)
+    try:
+        store.publish("dim_team_scd2", written.unionByName(written), rules=rules)
+    except quality.ExpectationFailed:
+        return store.read("dim_team_scd2")
+    raise RuntimeError("a broken version was published")
+
+
+@query
+def bronze_new_column(spark, sf_dir):
+    """Two drains from one checkpoint; the second landing has a column more."""
+    landing, root = shared_dir(spark, "landing"), shared_dir(spark, "bronze")
+    checkpoints, schemas = shared_dir(spark, "checkpoint"), shared_dir(spark, "schemas")
+    events = event_table(spark, sf_dir).select("event_id", "event_type", "props", "ts")
+    early = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    declared = events.select("event_id", "event_type").schema
+    specs = {"events": bronze_stream.TopicSpec("events", declared, ("event_type",))}
+    for part in (events.where(early).drop("props", "ts"), events.where(~early).drop("ts")):
+        part.write.mode("append").format(file_format(spark, "avro")).save(f"{landing}/events")
+        bronze_stream.drain(spark, landing, root, checkpoints, specs, schemas=schemas)
+    loaded = spark.read.option("mergeSchema", "true").parquet(f"{root}/events")
+    return loaded.select("event_id", "event_type", "props")
+
+
 @query
 def bulk_append(spark, sf_dir):
     """Append a load of every session dataset to its source table; row counts."""
