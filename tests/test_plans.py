@@ -68,7 +68,8 @@ def test_partition_filter_reaches_the_scan(spark, folder):
     assert re.search(r"PushedFilters: \[[^\]]*driver_code", text)
 
 
-WRITING = ("stream_", "merge_", "refresh_all", "landing_", "append_", "bulk_", "rebuilt", "partitioned")
+WRITING = ("stream_", "merge_", "refresh_all", "landing_", "append_", "bulk_", "rebuilt", "partitioned",
+           "refresh_late", "pipeline_", "gate_", "bronze_")
 
 
 @pytest.mark.parametrize(
