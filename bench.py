@@ -31,6 +31,8 @@ HEADLINE = (
     "point_in_time_lookup",
     "scope_race",
     "refresh_race_pace_comparison",
+    "merge_stored_results",
+    "merge_stored_laps",
     "replay_gaps",
     "panel_coverage",
     "expect_grain",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from changeloom.schemas import DATASETS, RACE, SESSION, SOURCE_TABLES, change_sc
 from changeloom.session import shared_dir, with_defaults
 from changeloom.sources.landing import file_format, pinned_schema, with_hour_folders, write_landing
 from changeloom.sources.normalize import RAW_COLUMNS, for_driver, normalize
-from changeloom.sources.tables import Tables
+from changeloom.sources.tables import Tables, balanced
 from changeloom.streaming import bronze as bronze_stream
 from changeloom.streaming.lakehouse import run_once
 from changeloom.streaming.silver import merge_stream
@@ -33,6 +33,8 @@ QUERIES: dict[str, Query] = {}
 STAMPS = ("_silver_loaded_at", "_gold_loaded_at", "_bronze_loaded_at")
 # Bytes limit that rules out every broadcast, to run the shuffled form of a join.
 NO_BROADCAST = -1
+# Records after which the landing files of `landing_rotation` are closed.
+ROTATED_RECORDS = 1000
 
 
 def query(fn: Query) -> Query:
@@ -373,6 +375,16 @@ def scope_race(spark, sf_dir):
     return scoped.select("event_id", *RACE, "lap_time_ms")
 
 
+@query
+def scope_pruned(spark, sf_dir):
+    """Scoping of a stored table by a broadcast list: other partitions are not read."""
+    folder = shared_dir(spark, "laps")
+    balanced(changes(spark, sf_dir, "laps"), RACE).write.partitionBy(*RACE).parquet(folder)
+    affected = scope.affected_groups([_recent(spark, sf_dir, "laps")], RACE)
+    scoped = scope.scope_to(spark.read.parquet(folder), affected, RACE)
+    return scoped.select("event_id", *[F.col(c).cast("int").alias(c) for c in RACE], "lap_time_ms")
+
+
 @query
 def scope_many_sources(spark, sf_dir):
     names = ("results", "laps", "weather", "race_control")
@@ -457,8 +469,19 @@ def merge_stored_laps(spark, sf_dir):
 
 
 @query
-def refresh_all_models(spark, sf_dir):
-    """All models from stored changes in two rounds; rows per table."""
+def merge_null_sessions(spark, sf_dir):
+    """Stored state merged in three batches; every fifth event has no round."""
+    path = shared_dir(spark, "state")
+    known = F.when(F.col("event_id") % 5 != 0, F.col("round"))
+    log = changes(spark, sf_dir, "results").withColumn("round", known)
+    for part in (2, 1, 0):
+        batch = log.where(F.pmod(F.col("__source_lsn"), F.lit(3)) == part)
+        merge_changes(spark, silver.MODELS["results"], batch, path, gate=False)
+    return read_live(spark, path, silver.MODELS["results"])
+
+
+def _refreshed_twice(spark, sf_dir) -> dict[str, DataFrame]:
+    """All tables from stored changes in two rounds."""
     root = shared_dir(spark, "lakehouse")
     names = [n for n in DATASETS if n != "ingestion_jobs"]
     for late in (False, True):
@@ -468,7 +491,20 @@ def refresh_all_models(spark, sf_dir):
             batch[n] = changes(spark, sf_dir, n).where(recent)
         # The derived results hold duplicate drivers per race: no grain gate here.
         tables = refresh_all(spark, root, batch, gate=False)
-    return bronze_stream.table_counts(tables)
+    return tables
+
+
+@query
+def refresh_all_models(spark, sf_dir):
+    """All models from stored changes in two rounds; rows per table."""
+    return bronze_stream.table_counts(_refreshed_twice(spark, sf_dir))
+
+
+@query
+def refresh_all_mart(spark, sf_dir):
+    """The mart after both rounds, by content."""
+    mart = _refreshed_twice(spark, sf_dir)["mart_driver_race_result"]
+    return rounded(mart, "season_lap_consistency_stddev")
 
 
 @query
@@ -587,6 +623,33 @@ def _point_in_time(spark, sf_dir, limit) -> DataFrame:
     return found.select("event_id", "o_custkey", "day", "o_orderpriority", "_valid_from_seq")
 
 
+# Moves day numbers beyond the open end of the models.
+WIDE_SHIFT = 2_000_000
+
+
+def _wide_versions(spark, sf_dir) -> DataFrame:
+    orders = _orders_by_day(spark, sf_dir).withColumn("day", F.col("day") + WIDE_SHIFT)
+    daily = one_row_per_seq(orders, "o_custkey", "day", ["o_orderpriority"], ["o_orderkey"])
+    return scd2_islands(daily, "o_custkey", "day", ["o_orderpriority"])
+
+
+@query
+def scd2_versions_wide(spark, sf_dir):
+    """Versions over a sequence above 999999; the current one has no end."""
+    return _wide_versions(spark, sf_dir)
+
+
+@query
+def point_in_time_lookup_wide(spark, sf_dir):
+    """The lookup over versions whose last one is open."""
+    facts = event_table(spark, sf_dir).selectExpr(
+        "event_id", "user_id AS o_custkey", f"CAST({WIDE_SHIFT} + 2000 + event_id % 2400 AS INT) AS day"
+    )
+    bounds = ("day", "_valid_from_seq", "_valid_to_seq_excl")
+    found = joins.point_in_time_join(facts, _wide_versions(spark, sf_dir), ["o_custkey"], *bounds, chunk=512)
+    return found.select("event_id", "o_custkey", "day", "o_orderpriority", "_valid_from_seq")
+
+
 # ---- aggregates, windows, winners ----------------------------------------
 
 
@@ -825,6 +888,30 @@ def stream_bronze_topics(spark, sf_dir):
     return bronze_stream.table_counts(tables)
 
 
+@query
+def stream_bronze_laps(spark, sf_dir):
+    """One topic landed as Avro and drained, by content."""
+    landing, root = shared_dir(spark, "landing"), shared_dir(spark, "bronze")
+    specs = {t: s for t, s in bronze_stream.topic_specs().items() if s.table == "laps"}
+    log = changes(spark, sf_dir, "laps")
+    for topic in specs:
+        _as_change_rows(log, "laps").write.format(file_format(spark, "avro")).save(f"{landing}/{topic}")
+    bronze_stream.drain(spark, landing, root, shared_dir(spark, "checkpoint"), specs)
+    loaded = spark.read.schema(change_schema("laps")).parquet(f"{root}/laps")
+    return loaded.select("event_id", *SESSION, "driver_code", "lap_number", "lap_time_ms", "__op", "__source_lsn")
+
+
+@query
+def silver_load_stamps(spark, sf_dir):
+    """Rows of every silver state, and how many carry a load stamp."""
+    counted = []
+    for name in silver.MODELS:
+        rows = silver.state(silver.MODELS[name], changes(spark, sf_dir, name))
+        counts = rows.agg(F.count(F.lit(1)).alias("linhas"), F.count("_silver_loaded_at").alias("stamped"))
+        counted.append(counts.select(F.lit(name).alias("tabela"), "linhas", "stamped"))
+    return reduce(lambda a, b: a.unionByName(b), counted)
+
+
 @query
 def stream_silver_results(spark, sf_dir):
     """Bronze files streamed in small batches into the silver state."""
@@ -855,6 +942,26 @@ def landing_hour_folders(spark, sf_dir):
     )
 
 
+@query
+def landing_rotation(spark, sf_dir):
+    """Landing files are closed after a thousand records, as in a bus sink."""
+    path = shared_dir(spark, "landing")
+    month = F.date_trunc("month", F.col("ts").cast("timestamp"))
+    events = event_table(spark, sf_dir).select("event_id", month.alias("at"))
+    write_landing(events, path, "parquet", F.col("at"), ROTATED_RECORDS)
+    back = spark.read.schema("event_id long, year string, month string").parquet(path)
+    files = back.groupBy("year", "month", F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids")
+    )
+    total = F.sum("n")
+    return files.groupBy("year", "month").agg(
+        total.alias("n"),
+        F.sum("ids").alias("ids"),
+        (F.max("n") <= ROTATED_RECORDS).alias("within_limit"),
+        (F.count(F.lit(1)) * ROTATED_RECORDS >= total).alias("enough_files"),
+    )
+
+
 @query
 def landing_folder_names(spark, sf_dir):
     named = with_hour_folders(event_table(spark, sf_dir), F.col("ts"))

@@ -60,6 +60,15 @@ def test_scoping_is_a_semi_join(spark):
     assert "LeftSemi" in plan(scope.scope_to(log, affected, ["season", "round"]))
 
 
+def test_scoping_prunes_partitions(spark, folder):
+    laps, races = CHANGES["laps"](spark, SF_DIR), ["season", "round"]
+    laps.write.partitionBy(*races).parquet(f"{folder}/laps")
+    laps.where("season = 2000").select(*races).distinct().write.parquet(f"{folder}/touched")
+    stored, touched = spark.read.parquet(f"{folder}/laps"), spark.read.parquet(f"{folder}/touched")
+    text = plan(scope.scope_to(stored, scope.affected_groups([touched], races), races))
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", text)
+
+
 def test_partition_filter_reaches_the_scan(spark, folder):
     CHANGES["results"](spark, SF_DIR).write.partitionBy("season", "round").parquet(f"{folder}/r")
     df = spark.read.parquet(f"{folder}/r").where("season = 1998 AND round = 7 AND driver_code = 'D1'")
@@ -69,7 +78,7 @@ def test_partition_filter_reaches_the_scan(spark, folder):
 
 
 WRITING = ("stream_", "merge_", "refresh_all", "landing_", "append_", "bulk_", "rebuilt", "partitioned",
-           "refresh_late", "pipeline_", "gate_", "bronze_")
+           "refresh_late", "pipeline_", "gate_", "bronze_", "scope_pruned")
 
 
 @pytest.mark.parametrize(
