@@ -316,9 +316,11 @@ def similar(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def join_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, t, check, class_id, n_links, n_copies) of every row.
+    """(key, t, check, root, class_id, n_links, n_copies) of every row.
 
-    `class_id` is the least key of the connected component of the row, `n_links`
+    `root` identifies the connected component of the row within this result. `class_id`
+    is the least key of the component: null if all its keys are null, and no identity
+    where unrelated texts share a key. `n_links` is
     the number of other rows with similarity THRESHOLD or more, `n_copies` the
     rows with an equal shingle set, itself included.
     """
@@ -342,9 +344,9 @@ def join_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     named = joined.join(heads, "root")
     # Texts without words are one class without links: there is nothing to compare.
     own = F.when(F.col("n") > 0, F.col("copies") - 1).otherwise(0)
-    named = named.select("c1", "c2", "class_id", (F.coalesce("links", F.lit(0)) + own).alias("n_links"), F.col("copies").alias("n_copies"))
+    named = named.select("c1", "c2", "root", "class_id", (F.coalesce("links", F.lit(0)) + own).alias("n_links"), F.col("copies").alias("n_copies"))
     out = rows.select("key", "t", "check", "c1", "c2").join(named, ["c1", "c2"])
-    return out.select(F.col("key").alias(key), "t", "check", "class_id", "n_links", "n_copies")
+    return out.select(F.col("key").alias(key), "t", "check", "root", "class_id", "n_links", "n_copies")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -354,7 +356,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """
     found = store(join_texts(docs, key, text), "joined")
     chosen = F.struct(F.col(key).isNull().alias("no"), F.col(key).alias("key"), F.col("t").alias("t"), F.col("check").alias("check"))
-    winners = found.groupBy("class_id").agg(F.min(chosen).alias("w")).select("w.key", "w.t", "w.check")
+    winners = found.groupBy("root").agg(F.min(chosen).alias("w")).select("w.key", "w.t", "w.check")
     body = text_of(docs, text)
     packed = docs.select(
         F.col(key).alias("key"), F.xxhash64(body).alias("t"), F.xxhash64(F.lit("second"), body).alias("check"), F.struct("*").alias("row")

@@ -345,3 +345,17 @@ def test_spanning_members_match_a_plain_union():
             group = [new if g == old else g for g in group]
         i, j = (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
         assert jaccardjoin.spanning(n, i, j).tolist() == group
+
+
+def test_one_document_of_each_component_whatever_its_keys(spark):
+    ship(spark)
+    body = lambda i: " ".join(f"w{i}x{k}" for k in range(40))
+    rows = [(None, body(i)) for i in range(6)] + [(None, body(0)), (None, body(1) + " more")]
+    rows += [(7, body(10)), (7, body(11)), (8, body(10)), (9, body(11) + " more"), (9, body(12))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in jaccardjoin.keep_one(frame).collect()]
+    same = lambda t: t.removesuffix(" more")
+    assert sorted(((k or 0), same(t)) for k, t in kept) == sorted([(0, body(i)) for i in range(6)] + [(7, body(10)), (7, body(11)), (9, body(12))])
+    found = jaccardjoin.join_texts(frame)
+    assert found.select("root").distinct().count() == 9
+    assert found.where("doc_id IS NULL AND class_id IS NOT NULL").count() == 0
