@@ -2,10 +2,11 @@
 
 Training texts are read in shards, one block of rows inside a task at a time.
 Each shard has a suffix array over its words; every suffix of the benchmark
-is searched in it by bisection, which gives the longest verbatim match of that
-suffix and all places of its window. A place can match only where consecutive
-words also follow each other in the benchmark, so the array holds just those
-places.
+is searched in it by bisection, which gives all places of its window and, for every
+place, the two benchmark suffixes next to it in order, one of which is its longest
+verbatim match. A match of three words or a window needs consecutive words that also
+follow each other in the benchmark, so the array holds just those places; a known
+word is a match of one, a linked pair a match of two.
 
 Words are runs of digits, letters a to z after lower-casing A to Z, and bytes
 beyond ASCII. A window is WINDOW consecutive words of an item; a shorter item
@@ -79,6 +80,8 @@ class Tests:
     places: np.ndarray
     lengths: np.ndarray
     owners: list[list[str]]
+    # Places of all words in the order of the suffixes that start there.
+    suffixes: np.ndarray
 
     @property
     def shortest(self) -> int:
@@ -109,7 +112,9 @@ def index_items(items: list[tuple[str, str]], window: int = WINDOW) -> Tests:
     singles = np.array([sequence[p] for p, n, _ in found.values() if n == 1], np.int64)
     places = np.array([p for p, _, _ in found.values()], np.int64)
     lengths = np.array([n for _, n, _ in found.values()], np.int64)
-    return Tests(keys, two[first], sequence, pairs, singles, places, lengths, [sorted(o) for _, _, o in found.values()])
+    ordered = suffix_array(sequence)
+    ordered = ordered[sequence[ordered] > 0]
+    return Tests(keys, two[first], sequence, pairs, singles, places, lengths, [sorted(o) for _, _, o in found.values()], ordered)
 
 
 def contains(ordered: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,11 +193,13 @@ def search(tests: Tests, one: np.ndarray, two: np.ndarray, owner: np.ndarray):
     link = np.zeros(len(ids), bool)
     link[:-1], _ = contains(tests.pairs, ids[:-1] * base + ids[1:])
     link[:-1] &= (owner[:-1] == owner[1:]) & (ids[:-1] > 0) & (ids[1:] > 0)
-    # Runs of linked words long enough for the shortest window.
+    known, pair = np.flatnonzero(ids > 0), np.flatnonzero(link)
+    sure = np.concatenate([known, pair]), np.repeat([1, 2], [len(known), len(pair)])
+    # Runs of linked words that can hold a window or a match of three words.
     start = link & ~np.concatenate([[False], link[:-1]])
     begins = np.flatnonzero(start)
     stops = np.flatnonzero(link & ~np.concatenate([link[1:], [False]])) + 2
-    enough = stops - begins >= max(2, tests.shortest)
+    enough = stops - begins >= max(2, min(3, tests.shortest))
     begins, stops = begins[enough], stops[enough]
     if len(tests.singles):
         alone = np.flatnonzero(contains(np.unique(tests.singles), ids)[0] & (ids > 0))
@@ -204,7 +211,7 @@ def search(tests: Tests, one: np.ndarray, two: np.ndarray, owner: np.ndarray):
         turn = np.argsort(begins, kind="stable")
         begins, stops = begins[turn], stops[turn]
     if not len(begins):
-        return (none, none), (none, none)
+        return (none, none), sure
     sizes = stops - begins + 1
     ahead = np.cumsum(sizes) - sizes
     position = np.repeat(begins - ahead, sizes) + np.arange(int(sizes.sum()))
@@ -217,19 +224,17 @@ def search(tests: Tests, one: np.ndarray, two: np.ndarray, owner: np.ndarray):
     number = np.repeat(np.arange(len(counts)), counts)
     within = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
     matched = order[low[number] + within]
-    # Longest match of every benchmark suffix: with a neighbour of its place in the array.
-    suffixes = np.flatnonzero(tests.ids > 0)
-    whole = np.full(len(suffixes), len(tests.ids))
-    place = bisect(shard, order, tests.ids, suffixes, whole, False)
-    lengths, ats = [], []
-    for side in (place - 1, place):
-        inside = np.clip(side, 0, len(order) - 1)
-        lengths.append(common(shard, order[inside], tests.ids, suffixes, whole))
-        ats.append(order[inside])
-    longer = lengths[1] > lengths[0]
-    best, at = np.where(longer, lengths[1], lengths[0]), np.where(longer, ats[1], ats[0])
-    some = best > 0
-    return (position[matched], number), (position[at[some]], best[some])
+    # The benchmark suffixes next to every place in order: one of them is its longest match.
+    suffixes = tests.suffixes
+    gaps = bisect(shard, order, tests.ids, suffixes, np.full(len(suffixes), len(tests.ids)), False)
+    above = np.searchsorted(gaps, np.arange(len(order)), side="right")
+    most, best = np.full(len(order), len(shard)), np.zeros(len(order), np.int64)
+    for side in (above - 1, above):
+        near = suffixes[np.clip(side, 0, len(suffixes) - 1)]
+        best = np.maximum(best, common(shard, order, tests.ids, near, most))
+    some = best > 2
+    far = np.concatenate([sure[0], position[order[some]]])
+    return (position[matched], number), (far, np.concatenate([sure[1], best[some]]))
 
 
 def merged_runs(starts: np.ndarray, ends: np.ndarray) -> list[int]:

@@ -359,3 +359,28 @@ def test_one_document_of_each_component_whatever_its_keys(spark):
     found = jaccardjoin.join_texts(frame)
     assert found.select("root").distinct().count() == 9
     assert found.where("doc_id IS NULL AND class_id IS NOT NULL").count() == 0
+
+
+@pytest.mark.parametrize("block", [1 << 24, 2000])
+def test_longest_match_is_that_of_the_document_alone(spark, docs, texts, block):
+    given = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    given.append((1000, " ".join(f"q{i}" for i in range(15))))
+    part = lambda a, b: " ".join(f"q{i}" for i in range(a, b))
+    extra = {-900: part(3, 10), -901: part(3, 10) + " zz", -902: "zz " + part(0, 15), -903: part(0, 15), -904: "q4", -905: "q4 q5 q7", -906: "zz"}
+    words = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    items = [words(t) for _, t in given]
+    grams = {n: {tuple(w[i : i + n]) for w in items for i in range(len(w) - n + 1)} for n in range(1, 1 + max(map(len, items)))}
+    expected = {}
+    for key, t in {**texts, **extra}.items():
+        own, most = words(t), 0
+        for k in range(len(own)):
+            while k + most < len(own) and tuple(own[k : k + most + 1]) in grams.get(most + 1, ()):
+                most += 1
+        expected[key] = most
+    assert [expected[k] for k in extra] == [7, 7, 15, 15, 1, 2, 0]
+    more = spark.createDataFrame([(k, t, None, None, 0, "k", 1, 2, 3) for k, t in extra.items()], SCHEMA).coalesce(1)
+    # Short items of words that no document has change nothing.
+    for listed in (given, [*given, (1001, "zq1 zq2 zq3"), (1002, "zq4")]):
+        table = spark.createDataFrame(listed, "item_id long, text string")
+        found = decontam.contamination(docs.unionByName(more), table, block_bytes=block).collect()
+        assert {r.doc_id: r.longest for r in found} == expected
