@@ -30,17 +30,19 @@ WINDOW = 8
 # Share of the good documents of a stratum that one rule may reject, and the level of the bounds.
 ALPHA = 0.01
 DELTA = 0.05
-# Cutoffs tried per rule, as shares: symbols per character, repeated lines, long and short words.
+# Cutoffs tried per rule: symbols per character, repeated lines per line, repeated words per word,
+# characters per word (long words), words per character (short words).
 GRIDS = {
     "symbol_share": (0.02, 0.05, 0.1, 0.15, 0.2, 0.3),
     "dup_line_share": (0.1, 0.2, 0.3, 0.4, 0.5, 0.7),
     "repeat_share": (0.05, 0.1, 0.15, 0.2, 0.25),
     "word_length": (8.0, 9.0, 10.0, 12.0, 15.0, 20.0, 40.0),
+    "word_shortness": (0.3, 0.35, 0.4, 0.5, 0.7),
 }
 
 
 def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
-    """(key, stratum, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of every text."""
+    """(key, stratum, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words) of every text."""
     body = text_of(docs, text)
     rows = docs.select(F.col(key).alias("key"), F.col(stratum).cast("string").alias("stratum"), body.alias("body"))
     words = F.filter(F.split("body", WHITE, -1), lambda w: w != "")
@@ -55,6 +57,7 @@ def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", stratum:
         F.col("n").cast("long").alias("n_words"),
         bare.cast("long").alias("word_chars"),
         symbols.cast("long").alias("n_symbols"),
+        F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words"), F.col("n")).cast("long").alias("n_repeat_words"),
     )
@@ -99,9 +102,10 @@ def metrics(rows: DataFrame) -> DataFrame:
     return rows.withColumns(
         {
             "symbol_share": share("n_symbols", "word_chars"),
-            "dup_line_share": share("n_dup_lines", "n_words"),
+            "dup_line_share": share("n_dup_lines", "n_lines"),
             "repeat_share": share("n_repeat_words", "n_words"),
             "word_length": share("word_chars", "n_words"),
+            "word_shortness": share("n_words", "word_chars"),
         }
     )
 

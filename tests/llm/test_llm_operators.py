@@ -384,3 +384,17 @@ def test_longest_match_is_that_of_the_document_alone(spark, docs, texts, block):
         table = spark.createDataFrame(listed, "item_id long, text string")
         found = decontam.contamination(docs.unionByName(more), table, block_bytes=block).collect()
         assert {r.doc_id: r.longest for r in found} == expected
+
+
+def test_repeated_lines_and_short_words_are_rejected(spark):
+    word = lambda i, k: f"w{i % 7}{'abcdefghij'[k % 10]}{k % 13}"
+    good = [(i, "\n".join(" ".join(word(i, 10 * j + k) + str(j) for k in range(10)) for j in range(6)), "xx") for i in range(800)]
+    lines = [" ".join(word(j, k) + str(j) for k in range(10)) for j in range(6)]
+    repeated = "\n".join(x for line in lines for x in (line, "read all of this"))
+    odd = [(-1, repeated, "xx"), (-2, " ".join("abcdefghijklmnopqrstuvwxyz"), "xx"), (-3, "\n".join(lines), "xx"), (-4, repeated, "yy")]
+    docs = spark.createDataFrame(good + odd, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i, _, _ in good], "doc_id long, quality int")
+    found = {r.doc_id: r for r in quality.judge(docs, labels).collect()}
+    assert not any(found[k].base_failed or found[k].n_repeat_words for k in (-1, -2, -3, -4))
+    assert [found[k].kept for k in (-1, -2, -3, -4)] == [False, False, True, True]
+    assert all(found[i].kept for i, _, _ in good)
