@@ -11,6 +11,11 @@ labelled by construction; their running text is made of words of up to
 WORD_PAGES rows of the table. Blocks inside elements that by definition hold no
 article text (navigation, forms, asides, page footers and the like) are never main.
 
+Scripts, styles, frames, text fields, drawings and templates are left out whole;
+formulas, and what stands in for scripts and objects, are text like any other. A
+drawing left open ends where the next element of the page begins or the one around
+it ends; the tag of a template that is never closed is passed over.
+
 Character references are decoded, white space inside a block becomes one blank,
 blocks are joined by one line feed. A null or empty page, and a page without
 main blocks, gives an empty text. Repeated rows are extracted one by one, pages of
@@ -23,6 +28,7 @@ import html
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -48,7 +54,16 @@ BLOCK_TAGS = frozenset(
     " section select summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template svg math iframe object textarea title xmp".split())
+# Elements whose text ends at their own end tag only; left open, they take the rest of the page.
+RAW_TAGS = frozenset("script style iframe textarea title xmp".split())
+# Elements that say nothing about the role of what they hold.
+PLAIN_TAGS = frozenset("math noscript object".split())
+# Start tags that end a drawing left open, and its parts that may hold them.
+ENDS_SVG = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre"
+    " ruby s small span strong strike sub sup table tt u ul var".split()
+)
+HOLDS_HTML = frozenset("foreignobject desc title".split())
 NEVER_MAIN = frozenset("head nav aside form button select option optgroup menu dialog label legend fieldset footer".split())
 CLOSES_P = BLOCK_TAGS - {"button", "label", "option", "legend", "caption"}
 SAME_CLOSES = {"li": "li", "dt": "dd", "dd": "dt", "tr": "tr", "td": "td", "th": "th", "option": "option"}
@@ -65,7 +80,7 @@ def path_bucket(token: str) -> int:
 
 @dataclass
 class Block:
-    """Text of a leaf sequence, buckets of its tag path, its link letters, and whether it can be main."""
+    """Text of a leaf sequence, different buckets of its tag path, its link letters, and whether it can be main."""
 
     text: str
     path: tuple[int, ...]
@@ -83,10 +98,63 @@ def element_tokens(tag: str, attributes: str) -> tuple[int, ...]:
     return tuple(path_bucket(t) for t in tokens)
 
 
+def raw_end(page: str, tag: str, at: int) -> int:
+    """Where the raw element `tag`, open at `at`, has ended."""
+    end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+    return end.end() if end else len(page)
+
+
+def svg_end(page: str, at: int, around: Counter[str]) -> int:
+    """Where the drawing open at `at` has ended; `around` counts the open elements of the page."""
+    inner, count = ["svg"], Counter(["svg"])
+    while found := TAG.search(page, at):
+        tag = (found[2] or "").lower()
+        if tag and found[1]:
+            if count[tag]:
+                while (last := inner.pop()) != tag:
+                    count[last] -= 1
+                count[tag] -= 1
+                if not inner:
+                    return found.end()
+            elif around[tag] or tag in ("p", "br"):
+                return found.start()
+        elif tag:
+            if tag in ENDS_SVG and not any(count[t] for t in HOLDS_HTML):
+                return found.start()
+            if not found[3].endswith("/") and not (tag in VOID_TAGS and any(count[t] for t in HOLDS_HTML)):
+                inner.append(tag)
+                count[tag] += 1
+        at = found.end()
+    return len(page)
+
+
+def template_ends(page: str, at: int) -> dict[int, int]:
+    """End of every closed template from `at` on, by the end of its start tag."""
+    ends: dict[int, int] = {}
+    opened: list[int] = []
+    while found := TAG.search(page, at):
+        at = found.end()
+        tag = (found[2] or "").lower()
+        if tag == "template" and found[1]:
+            if opened:
+                ends[opened.pop()] = at
+        elif tag == "template":
+            opened.append(at)
+        elif tag in RAW_TAGS and not found[1] and not found[3].endswith("/"):
+            at = raw_end(page, tag, at)
+    return ends
+
+
 def page_blocks(page: str) -> list[Block]:
     """The blocks of a page in order."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[int, ...], bool]] = []
+    # What the stack holds, kept along: open elements by tag, path buckets, block-level tags, never-main elements.
+    open_tags: Counter[str] = Counter()
+    buckets: dict[int, int] = {}
+    block_tags: list[str] = []
+    nevers = 0
+    templates: dict[int, int] | None = None
     parts: list[str] = []
     linked = links = at = 0
 
@@ -96,18 +164,37 @@ def page_blocks(page: str) -> list[Block]:
             raw = "".join(parts)
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                path = tuple(b for _, tokens, _ in stack for b in tokens)
-                inner = next((t for t, _, _ in reversed(stack) if t in BLOCK_TAGS), "")
-                out.append(Block(text, path, linked, any(n for _, _, n in stack), inner))
+                out.append(Block(text, tuple(buckets), linked, nevers > 0, block_tags[-1] if block_tags else ""))
             parts.clear()
         linked = 0
 
-    def close(tag: str) -> bool:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] == tag:
-                del stack[k:]
-                return True
-        return False
+    def push(tag: str, tokens: tuple[int, ...], never: bool) -> None:
+        nonlocal nevers
+        stack.append((tag, tokens, never))
+        open_tags[tag] += 1
+        nevers += never
+        for k in tokens:
+            buckets[k] = buckets.get(k, 0) + 1
+        if tag in BLOCK_TAGS:
+            block_tags.append(tag)
+
+    def pop() -> str:
+        nonlocal nevers
+        tag, tokens, never = stack.pop()
+        open_tags[tag] -= 1
+        nevers -= never
+        for k in tokens:
+            buckets[k] -= 1
+            if not buckets[k]:
+                del buckets[k]
+        if tag in BLOCK_TAGS:
+            block_tags.pop()
+        return tag
+
+    def close(tag: str) -> None:
+        if open_tags[tag]:
+            while pop() != tag:
+                pass
 
     n = len(page)
     while at < n:
@@ -133,30 +220,34 @@ def page_blocks(page: str) -> list[Block]:
         if tag == "br":
             parts.append(" ")
             continue
-        if tag in RAW_TAGS:
+        if tag in RAW_TAGS or tag in ("svg", "template"):
             if tag in BLOCK_TAGS:
                 flush()
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at) if not found[3].endswith("/") else None
-            at = end.end() if end else (at if found[3].endswith("/") else n)
+            if found[3].endswith("/"):
+                continue
+            if tag == "svg":
+                at = svg_end(page, at, open_tags)
+            elif tag == "template":
+                templates = template_ends(page, found.start()) if templates is None else templates
+                at = templates.get(at, at)
+            else:
+                at = raw_end(page, tag, at)
             continue
         if tag in BLOCK_TAGS:
             flush()
-            if tag in CLOSES_P and any(t == "p" for t, _, _ in stack):
+            if tag in CLOSES_P and open_tags["p"]:
                 close("p")
                 links = 0
         if tag in VOID_TAGS or found[3].endswith("/"):
             continue
         other = SAME_CLOSES.get(tag)
         if other and stack and stack[-1][0] in (tag, other):
-            stack.pop()
+            pop()
         if tag == "a":
             links += 1
-        elif len(stack) > 400:
-            # Deeper nesting adds nothing to a path.
-            continue
-        inside_article = any(t in ("article", "main") for t, _, _ in stack)
+        inside_article = open_tags["article"] or open_tags["main"]
         never = tag in NEVER_MAIN and not (tag in ("footer", "label") and inside_article) or tag == "header" and not inside_article
-        stack.append((tag, element_tokens(tag, found[3] or ""), never))
+        push(tag, () if tag in PLAIN_TAGS else element_tokens(tag, found[3] or ""), never)
     flush()
     return out
 

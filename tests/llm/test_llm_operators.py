@@ -398,3 +398,28 @@ def test_repeated_lines_and_short_words_are_rejected(spark):
     assert not any(found[k].base_failed or found[k].n_repeat_words for k in (-1, -2, -3, -4))
     assert [found[k].kept for k in (-1, -2, -3, -4)] == [False, False, True, True]
     assert all(found[i].kept for i, _, _ in good)
+
+
+@pytest.mark.parametrize(
+    ("page", "said"),
+    [
+        ("<p>a <math><mi>x</mi><mo>=</mo></math> b</p>", ["a x= b"]),
+        ("<p>a</p><object data=x><p>b</p></object><noscript>c</noscript><p>d", ["a", "b", "c", "d"]),
+        ("<p>a<object><p>b<noscript><p>c<math><p>d", ["a", "b", "c", "d"]),
+        ("<p>a<svg><g><svg><text>n</text></svg><text>n</text></g></svg>b</p>", ["ab"]),
+        ("<div>a<svg><path><p>b</div><div>c<svg><a>n</div>d", ["a", "b", "c", "d"]),
+        ("<p>a</p><template>n<template>n</template>n</template><p>b<template><p>c", ["a", "b", "c"]),
+        ("<p>a</p><script>n</p><p>n</script ><style>n</style><p>b</p><script>n<p>n", ["a", "b"]),
+    ],
+)
+def test_only_raw_elements_hide_text(page, said):
+    assert [b.text for b in pagetext.page_blocks(page)] == said
+
+
+def test_deep_pages_keep_their_structure():
+    page = "<article>" + "<div>" * 1000 + "<nav>n</nav><p>a</p>" + "</div>" * 1000 + "<p>b</p></article><p>c</p>"
+    a, b, c = pagetext.page_blocks(page)[1:]
+    assert [x.text for x in (a, b, c)] == ["a", "b", "c"]
+    own = lambda *tags: {pagetext.path_bucket(t) for t in tags}
+    assert [set(x.path) for x in (a, b, c)] == [own("article", "div", "p"), own("article", "p"), own("p")]
+    assert [x.never for x in pagetext.page_blocks(page)] == [True, False, False, False]
