@@ -14,8 +14,11 @@ from changeloom.llm import (
     decontam,
     jaccardjoin,
     langid,
+    licenses,
     pagetext,
+    periodic,
     quality,
+    resample,
     secretscan,
     suffixdedup,
     tokenfile,
@@ -78,6 +81,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccardjoin.join_texts(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(table(spark, sf_dir, "documents"), change=periodic.planted)
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,5 +107,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_id,
         op9_bpe_round_trip,
         op10_jaccard_join,
+        op11_resample,
+        op12_periodic_runs,
+        op13_license_scan,
     )
 }
