@@ -113,14 +113,18 @@ def point_in_time_join(
 ) -> DataFrame:
     """Left join each fact to the version valid at its `seq` (bounds inclusive).
 
-    Versions are keyed by the `chunk`-wide slices of the sequence they touch, so
-    a fact is compared with at most `chunk` versions of its key however many the
-    key has. A null `valid_to` is open. Versions are cut to the span of the facts before
-    slicing, and are broadcast only if all their copies fit. Span and
-    hot keys are read from `keys_from` where the facts are costly to compute.
+    Versions of a key must not overlap; a null `valid_to` is open. Where all copies fit, the
+    versions are broadcast, keyed by the `chunk`-wide slices of the sequence they touch and cut to the
+    span of the facts before. Otherwise facts and versions go through one shuffle and
+    no version is copied (`scan.asof_join`). Span and hot keys are read from `keys_from` where the
+    facts are costly to compute.
     """
+    from changeloom.operators.scan import asof_join
+
     spanned = facts if keys_from is None else keys_from
     lowest, newest = spanned.agg(F.min(seq), F.max(seq)).first()
+    if not fits_broadcast(dim, limit // slices_per_version(newest, lowest, chunk)):
+        return asof_join(facts, dim, on, seq, valid_from, valid_to, keys_from)
     kind = spanned.schema[seq].dataType
     first = F.greatest(F.col(valid_from), F.lit(lowest).cast(kind))
     last = F.least(F.col(valid_to), F.lit(newest).cast(kind))
@@ -131,12 +135,6 @@ def point_in_time_join(
     sliced = dim.where(first <= last).withColumn(
         "_chunk", F.explode(F.sequence(slice_of(first), slice_of(last)))
     )
-    return lookup_join(
-        facts.withColumn("_chunk", slice_of(F.col(seq))),
-        sliced,
-        [*on, "_chunk"],
-        "left",
-        (F.col(seq) >= F.col(valid_from)) & (F.col(valid_to).isNull() | (F.col(seq) <= F.col(valid_to))),
-        limit // slices_per_version(newest, lowest, chunk),
-        keys_from=spanned.withColumn("_chunk", slice_of(F.col(seq))),
-    ).drop("_chunk")
+    valid = (F.col(seq) >= F.col(valid_from)) & (F.col(valid_to).isNull() | (F.col(seq) <= F.col(valid_to)))
+    numbered = facts.withColumn("_chunk", slice_of(F.col(seq)))
+    return _join(numbered, F.broadcast(sliced), [*on, "_chunk"], "left", valid).drop("_chunk")

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changeloom.operators.joins import lookup_join
 from changeloom.operators.ordered import neighbours
+from changeloom.operators.scan import running_sum
 
 # Event kinds of the merged timeline, earlier first on equal times.
 SAMPLE = "tel"
@@ -76,6 +78,20 @@ def replay_schedule(
     return joined.select(*timeline.columns, gap)
 
 
+def due_times(schedule: DataFrame, session: Sequence[str]) -> DataFrame:
+    """Add `due_s`: when each event is due, counted from the start of its session's replay.
+
+    The waits of all moments up to the event's own, added as whole microseconds. Moments are
+    aggregated first, summed in two levels however long the session is, and joined back.
+    """
+    session = list(session)
+    waits = F.sum(F.round(F.col("gap_s") * 1e6).cast("long")).alias("_wait")
+    moments = schedule.groupBy(*session, "at_ms").agg(waits)
+    due = running_sum(moments, session, "at_ms", "_wait", "_due").drop("_wait")
+    joined = lookup_join(schedule, due, [*session, "at_ms"])
+    return joined.select(*schedule.columns, (F.col("_due") / 1e6).alias("due_s"))
+
+
 def replay_summary(schedule: DataFrame, session: Sequence[str]) -> DataFrame:
     """Events per session and kind, with the total paced waiting time.
 

@@ -373,23 +373,33 @@ MODELS = {
 }
 
 
+def affected_by(model: GoldModel, changes: Tables) -> DataFrame | None:
+    """Groups of a model that the changed rows touch; None where nothing it watches changed."""
+    watched = [changes[name] for name in model.watched if name in changes]
+    return affected_groups(watched, model.group) if watched else None
+
+
+def rebuilt(model: GoldModel, affected: DataFrame, t: Tables) -> DataFrame:
+    """The affected groups anew, from inputs cut to them."""
+    scoped = {
+        name: scope_to(df, affected, model.group)
+        if set(model.group) <= set(df.columns)
+        else df
+        for name, df in t.items()
+        if name in model.inputs
+    }
+    return model.build(scoped)
+
+
 def refresh(model: GoldModel, old: DataFrame | None, changes: Tables, t: Tables) -> DataFrame:
     """New content of a model after `changes` (changed rows per silver table).
 
     Every input is cut to the affected groups before it is read, and whole groups
     are replaced, so the result equals a full rebuild.
     """
-    watched = [changes[name] for name in model.watched if name in changes]
     if old is None or not model.watched:
         return model.build(t)
-    if not watched:
+    affected = affected_by(model, changes)
+    if affected is None:
         return old
-    affected = affected_groups(watched, model.group)
-    scoped = {
-        name: scope_to(df, affected, model.group)
-        if set(model.group) <= set(df.columns)
-        else df
-        for name, df in t.items()
-        if name in model.inputs
-    }
-    return replace_groups(old, affected, model.build(scoped), model.group)
+    return replace_groups(old, affected, rebuilt(model, affected, t), model.group)

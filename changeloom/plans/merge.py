@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from changeloom.operators.cdc import latest_by_key
-from changeloom.operators.joins import lookup_join
-from changeloom.operators.quality import expect
-from changeloom.operators.scope import affected_groups, scope_to
+from changeloom.operators.joins import BROADCAST_BYTES
+from changeloom.operators.quality import ExpectationFailed, Unique, expect
+from changeloom.operators.scope import affected_groups, match_groups, scope_to
+from changeloom.plans.keyindex import KeyIndex
 from changeloom.plans.silver import (
     STATE_ORDER,
     STATE_TIEBREAK,
@@ -56,18 +57,20 @@ def merge_changes(
     """Apply change rows to the state at `path`, partitioned by session.
 
     Only sessions named by the batch, or holding an older copy of one of its
-    keys, are read and rewritten. With `gate`, the new rows must pass the model's
-    expectations before readers see them. Applying a batch twice changes nothing.
+    keys, are read and rewritten; an index tells which hold one. With `gate`, the new rows must
+    pass the model's expectations before readers see them, and a value that must be unique may not be in
+    a session that is left alone either. Applying a batch twice changes nothing.
     """
     work = shared_dir(spark, f"merge-{model.name}")
     state(model, changes).write.parquet(f"{work}/batch")
     batch = spark.read.parquet(f"{work}/batch")
+    old = None
     if has_state(spark, path):
         # The batch's schema: a column the stored files do not have yet is null.
         old = spark.read.schema(batch.schema).parquet(path)
         sources = [batch]
-        if not set(SESSION) <= set(model.keys):
-            sources.append(lookup_join(old, batch.select(*model.keys), model.keys, "left_semi"))
+        if keys_move(model):
+            sources.append(index_of(spark, path, model.keys, old).find(batch))
         affected_groups(sources, SESSION).write.parquet(f"{work}/touched")
         touched = spark.read.parquet(f"{work}/touched")
         rows = scope_to(old, touched, SESSION).unionByName(batch)
@@ -83,10 +86,52 @@ def merge_changes(
     staged = spark.read.parquet(f"{work}/table")
     if gate:
         expect(live(staged), model.rules, model.name)
+    for columns in indexed(model):
+        index = index_of(spark, path, columns, old)
+        if gate and old is not None and columns != model.keys:
+            expect_unique_elsewhere(index, live(staged), live(old), touched, model.name)
+        index.add(staged)
     replace_partitions(staged, path, SESSION)
     return Merged(touched)
 
 
+def keys_move(model: SilverModel) -> bool:
+    """Whether a change can carry a key to another session."""
+    return not set(SESSION) <= set(model.keys)
+
+
+def indexed(model: SilverModel) -> list[tuple[str, ...]]:
+    """Column sets whose sessions are kept: keys that can move, and columns that must be unique."""
+    unique = [(r.column,) for r in model.rules if isinstance(r, Unique)]
+    return list(dict.fromkeys([*([model.keys] if keys_move(model) else []), *unique]))
+
+
+def index_of(spark: SparkSession, path: str, columns: tuple[str, ...], old: DataFrame | None) -> KeyIndex:
+    """The index of a state; one that was stored without it is read once for it."""
+    index = KeyIndex(spark, f"{path.rstrip('/')}-keys/{'-'.join(columns)}", columns, SESSION)
+    if old is not None and not index.exists():
+        index.add(old)
+    return index
+
+
+def expect_unique_elsewhere(
+    index: KeyIndex, staged: DataFrame, old: DataFrame, touched: DataFrame, name: str
+) -> None:
+    """Raise when a live value of `staged` is also live in a session that the merge leaves alone.
+
+    Only sessions that the index names are read.
+    """
+    column = index.keys[0]
+    pairs = index.find(staged)
+    elsewhere = match_groups(pairs, touched, SESSION, "left_anti", BROADCAST_BYTES)
+    if elsewhere.isEmpty():
+        return
+    there = scope_to(old, elsewhere.select(*SESSION), SESSION).select(column)
+    both = there.join(staged.select(column).distinct(), [column], "left_semi").distinct().count()
+    if both:
+        raise ExpectationFailed(f"{name}: unique({column}): {both} in other sessions")
+
+
 def stored_schema(spark: SparkSession, model: SilverModel) -> T.StructType:
     """Columns of a stored state, whatever the age of its files."""
     nothing = spark.createDataFrame([], change_schema(model.name))

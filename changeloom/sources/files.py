@@ -16,6 +16,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing where there is none."""
+    fs, target = locate(spark, path)
+    fs.delete(target, True)
+
+
 def numbers(spark: SparkSession, folder: str) -> list[int]:
     """Entries of `folder` that are named by a number, ascending."""
     fs, target = locate(spark, folder)

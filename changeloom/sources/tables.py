@@ -3,25 +3,32 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeloom.operators.quality import Rule, expect
-from changeloom.sources.files import exists, locate, read_text, write_text
+from changeloom.operators.joins import BROADCAST_BYTES
+from changeloom.operators.quality import Grain, Rule, expect
+from changeloom.operators.scope import match_groups, scope_to
+from changeloom.sources.files import exists, locate, read_text, remove, write_text
 
 # Medallion namespaces.
 LAYERS = ("bronze", "silver", "gold")
 _READY = "_PUBLISHED"
+_PENDING = "_REPLACING"
 
 
-def create_namespaces(spark: SparkSession, catalog: str | None = None) -> list[str]:
-    """Create the three schemas, in `catalog` when the session knows one."""
+def create_namespaces(spark: SparkSession, catalog: str | None = None, location: str | None = None) -> list[str]:
+    """Create the three schemas, in `catalog` when the session knows one, below `location` if given."""
     prefix = f"{catalog}." if catalog else ""
     names = [f"{prefix}{layer}" for layer in LAYERS]
-    for name in names:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+    for layer, name in zip(LAYERS, names, strict=True):
+        at = f" LOCATION '{location}/{layer}'" if location else ""
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{at}")
     return names
 
 
@@ -61,7 +68,9 @@ class Tables:
         if number is None:
             raise FileNotFoundError(self.path(name))
         target = f"{self.path(name)}/v={number}"
-        return self.spark.read.schema(self._schema(target)).parquet(target)
+        schema = self._schema(target)
+        self._finish(target, schema)
+        return self.spark.read.schema(schema).parquet(target)
 
     def _schema(self, target: str) -> T.StructType:
         """Schema stored in the ready marker: a version without rows has no file to tell it."""
@@ -87,6 +96,54 @@ class Tables:
         write_text(self.spark, f"{target}/{_READY}", df.schema.json())
         return written
 
+    def replace(
+        self,
+        name: str,
+        fresh: DataFrame,
+        affected: DataFrame,
+        group: Sequence[str],
+        partition_by: Sequence[str],
+        rules: Sequence[Rule] = (),
+    ) -> DataFrame:
+        """Put `fresh` in the place of the `affected` groups of the newest version.
+
+        `group` must be among the partition columns, so groups are whole partitions; other
+        partitions keep their files. The new rows are staged and tested first, keys that must be
+        unique against the rows that stay as well. Partitions are replaced one after the other: what is
+        to be done is noted before, and whoever reads or replaces next finishes what was interrupted.
+        """
+        if not set(group) <= set(partition_by):
+            raise ValueError(f"{name}: groups must be whole partitions")
+        old = self.read(name)
+        staged_at = f"{self.path(name)}/_staged-{uuid.uuid4().hex}"
+        balanced(fresh, partition_by).write.partitionBy(*partition_by).parquet(staged_at)
+        staged = self.spark.read.schema(old.schema).parquet(staged_at)
+        expect(staged, rules, name)
+        for keys in (set(r.columns) for r in rules if isinstance(r, Grain)):
+            # Keys that name their group can't meet a row of another group.
+            if not set(group) <= keys:
+                kept = match_groups(old, affected, group, "left_anti", BROADCAST_BYTES)
+                expect(kept.unionByName(staged), [Grain(tuple(sorted(keys)))], name)
+        written = folders(staged.select(F.col("_metadata.file_path").alias("file")), staged_at)
+        placed = old.select(*group, F.col("_metadata.file_path").alias("file"))
+        target = f"{self.path(name)}/v={self.version(name)}"
+        emptied = folders(scope_to(placed, affected, group), target) - written
+        pending = {"staged": staged_at, "partition_by": list(partition_by), "emptied": sorted(emptied)}
+        write_text(self.spark, f"{target}/{_PENDING}", json.dumps(pending))
+        return self.read(name)
+
+    def _finish(self, target: str, schema: T.StructType) -> None:
+        """Carry out a replacement that was noted; doing so again changes nothing."""
+        if not exists(self.spark, f"{target}/{_PENDING}"):
+            return
+        pending = json.loads(read_text(self.spark, f"{target}/{_PENDING}"))
+        staged = self.spark.read.schema(schema).parquet(pending["staged"])
+        replace_partitions(staged, target, pending["partition_by"])
+        for folder in pending["emptied"]:
+            remove(self.spark, f"{target}/{folder}")
+        remove(self.spark, f"{target}/{_PENDING}")
+        remove(self.spark, pending["staged"])
+
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """Plain append to an unversioned table folder."""
         writer = balanced(df, partition_by).write.mode("append")
@@ -99,6 +156,15 @@ class Tables:
         return self.spark.read.option("mergeSchema", "true").parquet(self.path(name))
 
 
+def folders(files: DataFrame, root: str) -> set[str]:
+    """The partition folders, below `root`, of a column `file` with paths as Spark reports them."""
+    folder = F.regexp_replace("file", "/[^/]*$", "")
+    found = {r[0] for r in files.select(folder.alias("folder")).distinct().collect()}
+    name = root.rstrip("/").rsplit("/", 1)[-1]
+    # Reported paths are URIs: a folder's own escapes appear escaped once more.
+    return {unquote(f.split(f"/{name}/", 1)[1]) for f in found if f"/{name}/" in f}
+
+
 def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring rows of a partition together before a partitioned write.
 

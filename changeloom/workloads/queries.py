@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,15 +14,16 @@ from pyspark.sql import types as T
 from changeloom.functions.clean import clamp, race_seq, seq_round, seq_season
 from changeloom.operators import cdc, joins, quality, replay, scope, winners
 from changeloom.operators.ordered import neighbours
+from changeloom.operators.scan import asof_join
 from changeloom.operators.scd2 import OPEN_END, one_row_per_seq, scd2_islands
 from changeloom.plans import gold, panel, silver
 from changeloom.plans.merge import merge_changes, read_live
 from changeloom.plans.refresh import refresh_all
 from changeloom.schemas import DATASETS, RACE, SESSION, SOURCE_TABLES, change_schema, source_schema
 from changeloom.session import shared_dir, with_defaults
-from changeloom.sources.landing import file_format, pinned_schema, with_hour_folders, write_landing
+from changeloom.sources.landing import enter_files, file_format, pinned_schema, with_hour_folders, write_landing
 from changeloom.sources.normalize import RAW_COLUMNS, for_driver, normalize
-from changeloom.sources.tables import Tables, balanced
+from changeloom.sources.tables import Tables, balanced, create_namespaces
 from changeloom.streaming import bronze as bronze_stream
 from changeloom.streaming.lakehouse import run_once
 from changeloom.streaming.silver import merge_stream
@@ -480,6 +483,26 @@ def merge_null_sessions(spark, sf_dir):
     return read_live(spark, path, silver.MODELS["results"])
 
 
+@query
+def merge_duplicate_elsewhere(spark, sf_dir):
+    """A batch that repeats event ids of sessions it does not touch is refused; the state before it stays."""
+    path = shared_dir(spark, "state")
+    model = replace(silver.MODELS["laps"], rules=(*silver.MODELS["laps"].rules, quality.Unique("event_id")))
+    log = changes(spark, sf_dir, "laps")
+    # A few laps share an id in the test data; the order of ids stays.
+    apart = F.col("event_id") * 1024 + F.pmod(F.xxhash64(*SESSION, "driver_number"), F.lit(1024))
+    log = log.withColumn("event_id", apart)
+    merge_changes(spark, model, log, path)
+    # The same laps in rounds that no season has, under the ids they have already.
+    again = log.withColumn("round", F.col("round") + 100)
+    try:
+        merge_changes(spark, model, again, path)
+    except quality.ExpectationFailed:
+        kept = read_live(spark, path, model)
+        return kept.groupBy(*SESSION).agg(F.count(F.lit(1)).alias("laps"), F.sum("lap_time_ms").alias("total_ms"))
+    raise RuntimeError("a state with repeated event ids was merged")
+
+
 def _refreshed_twice(spark, sf_dir) -> dict[str, DataFrame]:
     """All tables from stored changes in two rounds."""
     root = shared_dir(spark, "lakehouse")
@@ -627,6 +650,27 @@ def _point_in_time(spark, sf_dir, limit) -> DataFrame:
 WIDE_SHIFT = 2_000_000
 
 
+DAY_MS = 86_400_000
+
+
+@query
+def asof_lookup_millis(spark, sf_dir):
+    """The same lookup by milliseconds over years: no version is copied to a slice of the sequence."""
+    versions = _versions(spark, sf_dir).select(
+        "o_custkey",
+        "o_orderpriority",
+        (F.col("_valid_from_seq").cast("long") * DAY_MS).alias("from_ms"),
+        F.when(~F.col("is_current"), (F.col("_valid_to_seq_excl").cast("long") + 1) * DAY_MS - 1).alias("to_ms"),
+    )
+    facts = event_table(spark, sf_dir).selectExpr(
+        "event_id",
+        "user_id AS o_custkey",
+        f"(2000 + event_id % 2400) * {DAY_MS}L + event_id * 7919 % {DAY_MS}L AS at_ms",
+    )
+    found = asof_join(facts, versions, ["o_custkey"], "at_ms", "from_ms", "to_ms")
+    return found.select("event_id", "o_custkey", "at_ms", "o_orderpriority", "from_ms")
+
+
 def _wide_versions(spark, sf_dir) -> DataFrame:
     orders = _orders_by_day(spark, sf_dir).withColumn("day", F.col("day") + WIDE_SHIFT)
     daily = one_row_per_seq(orders, "o_custkey", "day", ["o_orderpriority"], ["o_orderkey"])
@@ -743,6 +787,13 @@ def replay_gaps(spark, sf_dir):
     return replay.replay_schedule(_timeline(spark, sf_dir), SESSION, speed=900.0)
 
 
+@query
+def replay_due_times(spark, sf_dir):
+    """When each event is due after the start of its session's replay."""
+    schedule = replay.replay_schedule(_timeline(spark, sf_dir), SESSION, speed=900.0)
+    return replay.due_times(schedule, SESSION).drop("gap_s")
+
+
 @query
 def replay_totals(spark, sf_dir):
     schedule = replay.replay_schedule(_timeline(spark, sf_dir), SESSION, speed=900.0)
@@ -1049,6 +1100,42 @@ def bronze_new_column(spark, sf_dir):
     return loaded.select("event_id", "event_type", "props")
 
 
+@query
+def bronze_wider_while_draining(spark, sf_dir):
+    """A file with a column more lands between the look at the schema and the load: nothing of it is lost."""
+    landing, root = shared_dir(spark, "landing"), shared_dir(spark, "bronze")
+    checkpoints, schemas = shared_dir(spark, "checkpoint"), shared_dir(spark, "schemas")
+    events = event_table(spark, sf_dir).select("event_id", "event_type", "props", "ts")
+    early = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    spec = bronze_stream.TopicSpec("events", events.select("event_id", "event_type").schema, ("event_type",))
+    avro, topic = file_format(spark, "avro"), f"{landing}/events"
+    events.where(early).drop("props", "ts").write.format(avro).save(topic)
+    ledger = bronze_stream.ledger_of(checkpoints, spec)
+    schema = enter_files(spark, topic, "avro", ledger, f"{schemas}/events", spec.schema)
+    events.where(~early).drop("ts").write.mode("append").format(avro).save(topic)
+    bronze_stream.load_entered(spark, root, checkpoints, {"events": spec}, {"events": schema})
+    bronze_stream.drain(spark, landing, root, checkpoints, {"events": spec}, schemas=schemas)
+    loaded = spark.read.option("mergeSchema", "true").parquet(f"{root}/events")
+    return loaded.select("event_id", "event_type", "props")
+
+
+@query
+def namespace_tables(spark, sf_dir):
+    """One table in each of the three namespaces, the last one read by its qualified name."""
+    bronze, silver_space, gold_space = create_namespaces(spark, location=shared_dir(spark, "catalog"))
+    # Namespaces are shared by the session: a name of its own for every run.
+    name = f"events_{uuid.uuid4().hex}"
+
+    def save(df: DataFrame, space: str) -> DataFrame:
+        df.write.option("path", shared_dir(spark, f"{space}-events")).saveAsTable(f"{space}.{name}")
+        return spark.table(f"{space}.{name}")
+
+    log = save(event_table(spark, sf_dir).select("event_id", "user_id", "event_type"), bronze)
+    newest = save(log.groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("event_type")), silver_space)
+    counted = newest.groupBy("event_type").agg(F.count(F.lit(1)).alias("users"))
+    return save(counted, gold_space)
+
+
 @query
 def bulk_append(spark, sf_dir):
     """Append a load of every session dataset to its source table; row counts."""
