@@ -33,6 +33,10 @@ HEADLINE = (
     "refresh_race_pace_comparison",
     "merge_stored_results",
     "merge_stored_laps",
+    "merge_results_1_percent",
+    "merge_results_half",
+    "asof_lookup_millis",
+    "replay_due_times",
     "replay_gaps",
     "panel_coverage",
     "expect_grain",

@@ -24,15 +24,19 @@ def split_by_null(df: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFram
 
 
 def match_groups(
-    df: DataFrame, affected: DataFrame, on: Sequence[str], how: str, limit: int
+    df: DataFrame, affected: DataFrame, on: Sequence[str], how: str, limit: int, stored: bool = False
 ) -> DataFrame:
     """Semi or anti join on groups in which null equals null.
 
-    Complete groups join on plain equality, with a predicate on the counted groups:
-    that is what lets Spark prune the partitions of `df` to them. Groups with a
-    null are joined apart, null-safely.
+    Groups are compared as structs, in which nulls are equal, so `df` is read once. With `stored`,
+    for a table in folders of its groups, complete groups join on plain equality with a predicate
+    on the counted groups: that is what lets Spark prune the folders to them. Groups
+    with a null, folders of their own, are joined apart.
     """
     on = list(on)
+    if not stored:
+        groups = affected.select(F.struct(*on).alias("_group")).distinct()
+        return lookup_join(df.withColumn("_group", F.struct(*on)), groups, ["_group"], how, limit=limit).drop("_group")
     counted = affected.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where("_n > 0").select(*on)
     rows, odd_rows = split_by_null(df, on)
     groups, odd_groups = split_by_null(counted, on)
@@ -43,10 +47,10 @@ def match_groups(
 
 
 def scope_to(
-    df: DataFrame, affected: DataFrame, on: Sequence[str], limit: int = BROADCAST_BYTES
+    df: DataFrame, affected: DataFrame, on: Sequence[str], limit: int = BROADCAST_BYTES, stored: bool = False
 ) -> DataFrame:
     """Rows of `df` in an affected group (semi-join on the typed columns; null equals null)."""
-    return match_groups(df, affected.select(*on), on, "left_semi", limit)
+    return match_groups(df, affected.select(*on), on, "left_semi", limit, stored)
 
 
 def replace_groups(
@@ -55,10 +59,11 @@ def replace_groups(
     recomputed: DataFrame,
     on: Sequence[str],
     limit: int = BROADCAST_BYTES,
+    stored: bool = False,
 ) -> DataFrame:
     """`old` with every affected group replaced by its recomputed rows.
 
     A group that no longer has input rows disappears.
     """
-    kept = match_groups(old, affected.select(*on), on, "left_anti", limit)
+    kept = match_groups(old, affected.select(*on), on, "left_anti", limit, stored)
     return kept.unionByName(recomputed, allowMissingColumns=True)

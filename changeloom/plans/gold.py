@@ -379,10 +379,10 @@ def affected_by(model: GoldModel, changes: Tables) -> DataFrame | None:
     return affected_groups(watched, model.group) if watched else None
 
 
-def rebuilt(model: GoldModel, affected: DataFrame, t: Tables) -> DataFrame:
-    """The affected groups anew, from inputs cut to them."""
+def rebuilt(model: GoldModel, affected: DataFrame, t: Tables, stored: bool = False) -> DataFrame:
+    """The affected groups anew, from inputs cut to them; `stored` inputs lie in folders of their sessions."""
     scoped = {
-        name: scope_to(df, affected, model.group)
+        name: scope_to(df, affected, model.group, stored=stored)
         if set(model.group) <= set(df.columns)
         else df
         for name, df in t.items()

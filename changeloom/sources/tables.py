@@ -122,12 +122,12 @@ class Tables:
         for keys in (set(r.columns) for r in rules if isinstance(r, Grain)):
             # Keys that name their group can't meet a row of another group.
             if not set(group) <= keys:
-                kept = match_groups(old, affected, group, "left_anti", BROADCAST_BYTES)
+                kept = match_groups(old, affected, group, "left_anti", BROADCAST_BYTES, stored=True)
                 expect(kept.unionByName(staged), [Grain(tuple(sorted(keys)))], name)
         written = folders(staged.select(F.col("_metadata.file_path").alias("file")), staged_at)
         placed = old.select(*group, F.col("_metadata.file_path").alias("file"))
         target = f"{self.path(name)}/v={self.version(name)}"
-        emptied = folders(scope_to(placed, affected, group), target) - written
+        emptied = folders(scope_to(placed, affected, group, stored=True), target) - written
         pending = {"staged": staged_at, "partition_by": list(partition_by), "emptied": sorted(emptied)}
         write_text(self.spark, f"{target}/{_PENDING}", json.dumps(pending))
         return self.read(name)

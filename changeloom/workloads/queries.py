@@ -22,6 +22,7 @@ from changeloom.plans.refresh import refresh_all
 from changeloom.schemas import DATASETS, RACE, SESSION, SOURCE_TABLES, change_schema, source_schema
 from changeloom.session import shared_dir, with_defaults
 from changeloom.sources.landing import enter_files, file_format, pinned_schema, with_hour_folders, write_landing
+from changeloom.sources.rotation import file_numbers
 from changeloom.sources.normalize import RAW_COLUMNS, for_driver, normalize
 from changeloom.sources.tables import Tables, balanced, create_namespaces
 from changeloom.streaming import bronze as bronze_stream
@@ -461,6 +462,26 @@ def merge_stored_results(spark, sf_dir):
     return read_live(spark, path, silver.MODELS["results"])
 
 
+def _merged_late(spark, sf_dir, percent: int) -> DataFrame:
+    """Results merged without the changes of `percent` of the keys, which come in a second batch."""
+    path = shared_dir(spark, "state")
+    log = changes(spark, sf_dir, "results")
+    late = F.pmod(F.xxhash64("event_id"), F.lit(100)) < percent
+    for part in (~late, late):
+        merge_changes(spark, silver.MODELS["results"], log.where(part), path, gate=False)
+    return read_live(spark, path, silver.MODELS["results"])
+
+
+@query
+def merge_results_1_percent(spark, sf_dir):
+    return _merged_late(spark, sf_dir, 1)
+
+
+@query
+def merge_results_half(spark, sf_dir):
+    return _merged_late(spark, sf_dir, 50)
+
+
 @query
 def merge_stored_laps(spark, sf_dir):
     path = shared_dir(spark, "state")
@@ -530,6 +551,42 @@ def refresh_all_mart(spark, sf_dir):
     return rounded(mart, "season_lap_consistency_stddev")
 
 
+def _with_own_drivers(spark, sf_dir) -> DataFrame:
+    """Results in which no driver has two in one race, as the mart's grain wants it."""
+    log = changes(spark, sf_dir, "results")
+    return log.withColumn("driver_code", F.concat_ws("-", "driver_code", "event_id"))
+
+
+@query
+def refresh_gated(spark, sf_dir):
+    """Both rounds with every expectation tested, on inputs that meet them; the mart by content."""
+    root = shared_dir(spark, "lakehouse")
+    for late in (False, True):
+        part = _is_recent() if late else ~_is_recent()
+        batch = {"results": _with_own_drivers(spark, sf_dir).where(part), "laps": _timed_laps(spark, sf_dir).where(part)}
+        tables = refresh_all(spark, root, batch)
+    return rounded(tables["mart_driver_race_result"], "season_lap_consistency_stddev")
+
+
+def _timed_laps(spark, sf_dir) -> DataFrame:
+    """Laps with a time in the accepted range, so that every driver of a season has a fastest one."""
+    return changes(spark, sf_dir, "laps").withColumn("lap_time_ms", 60_000 + F.pmod("event_id", F.lit(90_000)))
+
+
+@query
+def refresh_gate_stops(spark, sf_dir):
+    """Results with two rows of a driver in a race: every table but the mart is published."""
+    root = shared_dir(spark, "lakehouse")
+    batch = {"results": changes(spark, sf_dir, "results"), "laps": _timed_laps(spark, sf_dir)}
+    try:
+        refresh_all(spark, root, batch)
+    except quality.ExpectationFailed as stopped:
+        store = Tables(spark, f"{root}/gold")
+        rows = [(name, store.exists(name), str(stopped).startswith(f"{name}: ")) for name in gold.MODELS]
+        return spark.createDataFrame(rows, "tabela string, published boolean, failed boolean")
+    raise RuntimeError("a mart with a broken grain was published")
+
+
 @query
 def refresh_late_datasets(spark, sf_dir):
     """Laps arrive only after a first refresh that had none."""
@@ -1013,6 +1070,15 @@ def landing_rotation(spark, sf_dir):
     )
 
 
+@query
+def landing_rotation_timed(spark, sf_dir):
+    """Files closed after fifty records or a minute, on a clock a thousand times faster."""
+    events = event_table(spark, sf_dir).selectExpr(
+        "event_id", "event_type", "unix_micros(CAST(ts AS TIMESTAMP)) DIV 1000000 AS at_ms"
+    )
+    return file_numbers(events, ["event_type"], "at_ms", ["event_id"], records=50)
+
+
 @query
 def landing_folder_names(spark, sf_dir):
     named = with_hour_folders(event_table(spark, sf_dir), F.col("ts"))

@@ -77,7 +77,7 @@ def test_partition_filter_reaches_the_scan(spark, folder):
     assert re.search(r"PushedFilters: \[[^\]]*driver_code", text)
 
 
-WRITING = ("stream_", "merge_", "refresh_all", "landing_", "append_", "bulk_", "rebuilt", "partitioned",
+WRITING = ("stream_", "merge_", "refresh_all", "refresh_gate", "landing_", "append_", "bulk_", "rebuilt", "partitioned", "namespace_",
            "refresh_late", "pipeline_", "gate_", "bronze_", "scope_pruned")
 
 
