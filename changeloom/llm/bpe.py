@@ -15,9 +15,9 @@ from __future__ import annotations
 
 import codecs
 import hashlib
+import heapq
 import json
 from collections.abc import Iterable, Iterator, Sequence
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,19 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.llm.frames import blocks, text_of
-from changeloom.llm.pretokens import PieceEncoder
+from changeloom.llm.pretokens import PieceEncoder, byte_letters
 
-# Bytes the transducer takes in before it looks for stable tokens.
-CHUNK = 256
-
-
-@cache
-def byte_letters() -> dict[str, int]:
-    """The printable letter that stands for each byte in a vocabulary file."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    letters = {chr(b): b for b in plain}
-    other = [b for b in range(256) if b not in set(plain)]
-    return letters | {chr(256 + i): b for i, b in enumerate(other)}
+# Bytes the transducer takes in before it looks for stable tokens: a few times the lookahead, so that
+# a byte is merged little more than once.
+CHUNK = 8192
+# Bytes up to which merging scans all pairs; longer portions keep their pairs in a heap.
+SHORT = 48
 
 
 class Merges:
@@ -129,7 +123,11 @@ class Transducer:
 def merge(merges: Merges, portion: Iterable[int]) -> list[int]:
     """Apply the merge list to bytes: earliest merge first, leftmost first."""
     ids = [merges.single[b] for b in portion]
-    ranks = merges.ranks
+    return merge_short(merges.ranks, ids) if len(ids) <= SHORT else merge_long(merges.ranks, ids)
+
+
+def merge_short(ranks: dict[tuple[int, int], tuple[int, int]], ids: list[int]) -> list[int]:
+    """Merges one by one, all places of a merge in one pass."""
     none = (1 << 60, 0)
     while len(ids) > 1:
         best, pair = none, None
@@ -151,6 +149,31 @@ def merge(merges: Merges, portion: Iterable[int]) -> list[int]:
     return ids
 
 
+def merge_long(ranks: dict[tuple[int, int], tuple[int, int]], ids: list[int]) -> list[int]:
+    """The same from a heap of (rank, place) over linked ids: a pair is looked at when it forms and when its turn comes."""
+    n = len(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(found[0], i) for i, pair in enumerate(zip(ids, ids[1:])) if (found := ranks.get(pair))]  # noqa: B905
+    heapq.heapify(heap)
+    while heap:
+        rank, i = heapq.heappop(heap)
+        j = after[i]
+        # Since then one of the two may have gone into another merge.
+        found = ranks.get((ids[i], ids[j])) if ids[i] >= 0 and j < n else None
+        if found is None or found[0] != rank:
+            continue
+        ids[i], ids[j] = found[1], -1
+        k = after[i] = after[j]
+        if k < n:
+            before[k] = i
+            if new := ranks.get((ids[i], ids[k])):
+                heapq.heappush(heap, (new[0], i))
+        h = before[i]
+        if h >= 0 and (new := ranks.get((ids[h], ids[i]))):
+            heapq.heappush(heap, (new[0], h))
+    return [x for x in ids if x >= 0]
+
+
 class ByteToText:
     """Text from token bytes in portions; broken bytes become U+FFFD."""
 
