@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from changeloom.llm.frames import blocks, text_of
-from changeloom.llm.pretokens import PieceEncoder
+from changeloom.llm.pretokens import PieceEncoder, byte_letters
 
 MAGIC, VERSION = b"CLTK", 1
 HEAD = struct.Struct("<4sHHI32s")
@@ -61,8 +61,12 @@ class LibraryTokenizer:
             tokenizer = Tokenizer.from_file(self.path)
             special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
 
+            # Pieces are cut already: they go straight to the merges, spelled as the vocabulary spells bytes.
+            model, spelled = tokenizer.model, {byte: letter for letter, byte in byte_letters().items()}
+
             def pieces(batch: list[str]) -> list[list[int]]:
-                return [e.ids for e in tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
+                words = [p.encode().decode("latin-1").translate(spelled) for p in batch]
+                return [[token.id for token in model.tokenize(word)] for word in words]
 
             encoder = PieceEncoder(pieces)
             kept = _loaded[self.path] = lambda texts: encoder.texts(texts, special)
@@ -131,14 +135,16 @@ def _decompressor(dictionary: bytes) -> zstandard.ZstdDecompressor:
 
 
 def sample_arrays(docs: DataFrame, tokenizer: LibraryTokenizer, width: int, key: str, text: str) -> list[bytes]:
-    """Serialised ids of about SAMPLE_DOCUMENTS documents, SAMPLE_IDS of each at most.
+    """Serialised ids of about SAMPLE_DOCUMENTS documents, SAMPLE_IDS of each at most, from a hashed place on.
 
     The dictionary alone is fitted on them; it changes sizes, never contents.
     """
     every = max(1, docs.count() // SAMPLE_DOCUMENTS)
-    chosen = docs.where(F.pmod(F.xxhash64(F.col(key)), F.lit(every)) == 0)
-    body = F.substring(text_of(docs, text), 1, 8 * SAMPLE_IDS)
-    texts = [r[0] for r in chosen.select(body).orderBy(F.xxhash64(body)).limit(2 * SAMPLE_DOCUMENTS).collect()]
+    drawn = F.xxhash64(F.col(key), text_of(docs, text))
+    chosen = docs.select(text_of(docs, text).alias("body"), drawn.alias("drawn")).where(F.pmod("drawn", F.lit(every)) == 0)
+    some = chosen.orderBy("drawn").limit(2 * SAMPLE_DOCUMENTS)
+    start = 1 + F.pmod(F.hash("drawn"), F.greatest(F.length("body") - 8 * SAMPLE_IDS + 1, F.lit(1)))
+    texts = [r[0] for r in some.select(F.substring("body", start, F.lit(8 * SAMPLE_IDS))).collect()]
     return [ids[:SAMPLE_IDS].astype(id_type(width)).tobytes() for ids in tokenizer.load()(texts)]
 
 
@@ -190,8 +196,10 @@ def write(
             yield flush()
 
     source = docs.select(F.col(key).cast("long").alias("key"), text_of(docs, text).alias("body"))
-    order = [F.col("key").asc_nulls_first(), F.xxhash64("body")]
-    rows = source.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The row number tells equal rows apart, so that they can be spread as well.
+    order = [F.col("key").asc_nulls_first(), F.xxhash64("body"), F.col("number")]
+    numbered = source.withColumn("number", F.monotonically_increasing_id())
+    rows = numbered.repartitionByRange(*order).sortWithinPartitions(*order).drop("number")
     packed = rows.mapInArrow(run, "shard int, block long, n_docs long, n_null_keys long, n_ids long, data binary")
     packed.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
