@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -18,6 +18,9 @@ from changeloom.session import shared_dir
 # Characters of text that are held as arrays at once inside a task.
 BLOCK_CHARS = 1 << 17
 
+# Elements of an array that are scanned in one go.
+SCAN_CHUNK = 512
+
 # Rows of an Arrow batch: texts are long, and a task holds a batch several times over.
 BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "500"
 
@@ -41,6 +44,35 @@ def text_of(df: DataFrame, name: str = "text") -> Column:
     return F.coalesce(df[name].cast("string"), F.lit(""))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with `value` evaluated once however often `use` refers to it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def running(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """Inclusive scan of an array of numbers >= 0 with an associative `op` whose identity is 0.
+
+    Arrays grow by copying, so they are kept short: chunks are scanned one by one, then
+    raised by what came before them. `values` must be a column or a lambda variable.
+    """
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(values) - 1) / SCAN_CHUNK).cast("int")),
+        lambda k: F.slice(values, k * SCAN_CHUNK + 1, SCAN_CHUNK),
+    )
+    grow = lambda acc, x: F.concat(acc, F.array(op(F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)), x)))
+    none = F.array().cast("array<int>")
+    last = lambda part: F.get(part, F.size(part) - 1)
+
+    def raised(parts: Column) -> Column:
+        heights = F.aggregate(F.transform(parts, last), none, grow)
+        return bound(heights, lambda h: F.flatten(F.transform(parts, lambda p, k: F.when(k == 0, p).otherwise(lifted(p, F.get(h, k - 1))))))
+
+    def lifted(part: Column, height: Column) -> Column:
+        return F.transform(part, lambda x: op(height, x))
+
+    return F.when(F.size(values) > 0, bound(F.transform(chunks, lambda c: F.aggregate(c, none, grow)), raised)).otherwise(none)
+
+
 def store(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written to the shared folder and read back: its lineage ends there."""
     spark = df.sparkSession

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm.frames import store, text_of
+from changeloom.llm.frames import SCAN_CHUNK, bound, running, store, text_of
 from changeloom.session import shared_dir
 
 
@@ -64,33 +64,23 @@ def spans_of(text: Column, rule: Rule) -> Column:
         prefix = len(rule.pattern.split("[")[0])
         pattern = f"{rule.pattern[:-1]}{{{rule.least - prefix},}}"
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.transform(F.split(text, pattern, -1), F.length)
-    # start of match i: everything between and in matches before it
-    step = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
-    none = F.array().cast(f"{SPAN[:-2]},hit:string>>")
-    placed = F.aggregate(
-        step,
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.length(x["hit"])).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        (acc["at"] + x["gap"]).alias("start"),
-                        (acc["at"] + x["gap"] + F.length(x["hit"])).alias("end"),
-                        x["hit"].alias("hit"),
-                    )
-                ),
-            ).alias("out"),
-        ),
-        lambda acc: acc["out"],
+    gaps = F.transform(F.split(text, pattern, -1), F.length)
+    counts = (lambda hit: F.length(F.regexp_extract(hit, rule.pattern, rule.group)) >= rule.least) if checked else (lambda hit: F.lit(True))
+    # The part after the last match has none.
+    steps = F.filter(
+        F.zip_with(gaps, found, lambda gap, hit: F.struct(gap.alias("gap"), F.length(hit).alias("size"), counts(hit).alias("ok"))),
+        lambda x: x["size"].isNotNull(),
     )
-    if checked:
-        long_enough = lambda x: F.length(F.regexp_extract(x["hit"], rule.pattern, rule.group)) >= rule.least
-        placed = F.filter(placed, long_enough)
-    bare = F.transform(placed, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
-    return F.when(text.rlike(pattern), bare).otherwise(F.array().cast(SPAN))
+    return F.when(text.rlike(pattern), bound(steps, placed)).otherwise(F.array().cast(SPAN))
+
+
+def placed(steps: Column) -> Column:
+    """(start, end) of the matches that count, from the size of each and the gap before it."""
+    ends = bound(F.transform(steps, lambda x: x["gap"] + x["size"]), lambda moves: running(moves, lambda a, b: a + b))
+    spans = F.zip_with(
+        steps, ends, lambda x, end: F.struct((end - x["size"]).alias("start"), end.alias("end"), x["ok"].alias("ok"))
+    )
+    return F.transform(F.filter(spans, lambda x: x["ok"]), lambda x: F.struct(x["start"], x["end"]))
 
 
 def blobs(versions: DataFrame, text: str = "text") -> DataFrame:
@@ -144,7 +134,8 @@ def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         lambda s: F.struct(s["start"].alias("start"), place[F.col("rule")].alias("place"), F.col("kind"), s["end"].alias("end")),
     )
     per_blob = current.groupBy("blob").agg(F.collect_set(hit).alias("sets"))
-    return per_blob.select("blob", F.array_sort(F.array_distinct(F.flatten("sets"))).alias("hits"))
+    # Spans of different rules differ, and a rule that was scanned twice has left one set.
+    return per_blob.select("blob", F.sort_array(F.flatten("sets")).alias("hits"))
 
 
 def with_findings(versions: DataFrame, text: str = "text", ledger: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -180,23 +171,52 @@ def report(versions: DataFrame, ledger: str | None = None, key: str = "doc_id",
     )
 
 
+def islands(hits: Column) -> Column:
+    """Disjoint (start, end) that cover the same places; spans that only touch stay apart."""
+
+    def cut(reach: Column) -> Column:
+        opens = F.filter(F.sequence(F.lit(0), F.size(hits) - 1), lambda i: (i == 0) | (F.get(hits, i)["start"] >= F.get(reach, i - 1)))
+        return bound(opens, lambda first: F.transform(first, lambda i, k: one(first, i, k, reach)))
+
+    def one(first: Column, i: Column, k: Column, reach: Column) -> Column:
+        last = F.coalesce(F.get(first, k + 1), F.size(hits)) - 1
+        return F.struct(F.get(hits, i)["start"].alias("start"), F.get(reach, last).alias("end"))
+
+    return bound(bound(F.transform(hits, lambda h: h["end"]), lambda ends: running(ends, F.greatest)), cut)
+
+
+def marked(body: Column, cuts: Column, mark: str) -> Column:
+    """`body` with `mark` in the place of every cut.
+
+    A place in a text is found by walking to it, so the text is parted at every
+    SCAN_CHUNK-th cut first and the places are looked up in the parts.
+    """
+    end_before = lambda list_, i, start: F.when(i == 0, start).otherwise(F.get(list_, i - 1)["end"])
+
+    def part(k: Column) -> Column:
+        start = end_before(cuts, k * SCAN_CHUNK, F.lit(0))
+        return bound(F.slice(cuts, k * SCAN_CHUNK + 1, SCAN_CHUNK), lambda some: bound(start, lambda at: pieces(some, at)))
+
+    def pieces(some: Column, at: Column) -> Column:
+        end = F.get(some, F.size(some) - 1)["end"]
+
+        def replaced(region: Column) -> Column:
+            before = lambda i: end_before(some, i, at)
+            return F.transform(
+                some, lambda s, i: F.concat(F.substring(region, before(i) - at + 1, s["start"] - before(i)), F.lit(mark))
+            )
+
+        return F.array_join(bound(F.substring(body, at + 1, end - at), replaced), "")
+
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(cuts) - 1) / SCAN_CHUNK).cast("int")), part)
+    tail = F.substring(body, F.get(cuts, F.size(cuts) - 1)["end"] + 1, F.length(body))
+    return F.concat(F.array_join(parts, ""), tail)
+
+
 def redact(versions: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
     """`versions` with every span replaced by `mark`; overlapping spans become one mark."""
     rows = with_findings(versions, text)
-    body = F.col("row")[text]
-    cut = F.aggregate(
-        F.col("hits"),
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, h: F.when(h["end"] <= acc["at"], acc).otherwise(
-            F.struct(
-                h["end"].alias("at"),
-                F.when(h["start"] < acc["at"], acc["out"])
-                .otherwise(F.concat(acc["out"], F.substring(body, acc["at"] + 1, h["start"] - acc["at"]), F.lit(mark)))
-                .alias("out"),
-            )
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(body, acc["at"] + 1, F.length(body))),
-    )
-    clean = F.when(F.col("hits").isNull(), body).otherwise(cut)
+    body, hits = F.col("row")[text], F.col("hits")
+    clean = F.when(hits.isNull(), body).otherwise(bound(islands(hits), lambda cuts: marked(body, cuts, mark)))
     columns = [clean.alias(c) if c == text else F.col("row")[c].alias(c) for c in versions.columns]
     return rows.select(*columns)
