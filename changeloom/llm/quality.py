@@ -1,33 +1,35 @@
 """Quality rules whose cutoffs are risk-controlled on labelled documents.
 
-Each rule rejects texts whose metric exceeds a cutoff. Labelled good documents
-are a holdout: per stratum, a cutoff is allowed only if an exact binomial bound
-says that it rejects less than ALPHA of the good documents of the stratum, at
-level DELTA divided by the number of all tests made (strata x rules x cutoffs).
-Every rule takes the lowest allowed cutoff of its grid; where none is allowed it
-rejects nothing. RULES rules with an ALPHA each bound the joint false rejection
-by their sum. Everything is a DataFrame expression, the binomial tail included.
+Each rule rejects texts whose metric exceeds a cutoff. Labelled good texts are a
+holdout; a trial of the bound is a different text of a stratum, so a text counts once
+however many documents carry it. Per stratum, a cutoff is allowed only if an exact
+binomial bound says that it rejects less than a share of the good texts of the stratum,
+at level DELTA divided by the number of all tests made (strata x rules x cutoffs). That
+share is ALPHA divided by the number of rules, so all rules together reject less than
+ALPHA of the good texts of a stratum at level DELTA. Every rule takes the lowest allowed
+cutoff of its grid; where none is allowed it rejects nothing. Everything is a DataFrame
+expression, the binomial tail included.
 
 Words are runs without white space (blank, tab to carriage return). A null text
-has no words. Repeated rows are judged one by one; a document with several labels
-is good if all of them say so; strata without labels reject by the base rule
+has no words. Repeated rows are judged one by one and are one trial; a document with
+several labels is good if all of them say so, a text if all its labelled documents are;
+strata without labels reject by the base rule
 alone; empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.frames import store, text_of
+from changeloom.llm.frames import bound, store, text_of
 
 WHITE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-# Share of the good documents of a stratum that one rule may reject, and the level of the bounds.
+# Share of the good texts of a stratum that all rules together may reject, and the level of the bounds.
 ALPHA = 0.01
 DELTA = 0.05
 # Cutoffs tried per rule: symbols per character, repeated lines per line, repeated words per word,
@@ -42,7 +44,7 @@ GRIDS = {
 
 
 def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
-    """(key, stratum, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words) of every text."""
+    """(key, digest, stratum, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words) of every text."""
     body = text_of(docs, text)
     rows = docs.select(F.col(key).alias("key"), F.col(stratum).cast("string").alias("stratum"), body.alias("body"))
     words = F.filter(F.split("body", WHITE, -1), lambda w: w != "")
@@ -53,6 +55,7 @@ def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", stratum:
     symbols = F.length("body") - F.length(F.translate("body", SYMBOLS, ""))
     return rows.select(
         F.col("key").alias(key),
+        F.sha2("body", 256).alias("digest"),
         "stratum",
         F.col("n").cast("long").alias("n_words"),
         bare.cast("long").alias("word_chars"),
@@ -76,11 +79,6 @@ def repeated_words(words: Column, n: Column) -> Column:
     return F.when(repeats, bound(F.sort_array(F.transform(starts, window)), covered_words)).otherwise(0)
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value), with `value` evaluated once however often `use` refers to it."""
-    return F.get(F.transform(F.array(value), use), 0)
-
-
 def covered_words(windows: Column) -> Column:
     """Words inside the windows that equal a neighbour, from (w, at) structs sorted by w."""
     word = lambda k: F.coalesce(F.get(windows, k)["w"], F.lit(""))
@@ -146,13 +144,23 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(F.exp(top) * added)
 
 
+def trials(rows: DataFrame, labels: DataFrame, key: str, quality: str) -> DataFrame:
+    """(stratum, one column per rule) of every different good text of a stratum, base failures left out."""
+    marks = labels.where(F.col(quality).isNotNull() & F.col(key).isNotNull())
+    marks = store(marks.groupBy(F.col(key).alias("labelled")).agg(F.min(quality).alias("good")), "labelled")
+    labelled = rows.where(~F.col("base_failed")).join(marks, F.col(key) == F.col("labelled"))
+    metric = [F.max(rule).alias(rule) for rule in GRIDS]
+    return labelled.groupBy("stratum", "digest").agg(F.min("good").alias("good"), *metric).where("good = 1").drop("good", "digest")
+
+
 def cutoffs(good: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(stratum, one column per rule) from metrics of labelled good documents, base failures left out.
+    """(stratum, one column per rule) from the metrics of good texts, one row for each trial.
 
-    A cutoff c is allowed if P(X <= k) <= delta / tests for X ~ Binomial(n, alpha),
-    where k of the n good documents of the stratum exceed c: the upper end of the
-    exact (Clopper-Pearson) interval of the rejection rate is then below alpha.
+    A cutoff c is allowed if P(X <= k) <= delta / tests for X ~ Binomial(n, alpha / rules),
+    where k of the n good texts of the stratum exceed c: the upper end of the exact
+    (Clopper-Pearson) interval of the rule's rejection rate is then below its part of alpha.
     """
+    part = alpha / len(GRIDS)
     per_stratum = sum(map(len, GRIDS.values()))
     exceeding = [
         F.sum(F.when(F.col(rule) > c, 1).otherwise(0)).alias(f"{rule}_{i}") for rule, grid in GRIDS.items() for i, c in enumerate(grid)
@@ -164,7 +172,7 @@ def cutoffs(good: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> Data
     chosen = []
     for rule, grid in GRIDS.items():
         allowed = [
-            F.when(binomial_tail(F.col(f"{rule}_{i}"), F.col("n"), alpha) <= level, F.lit(float(c))) for i, c in enumerate(grid)
+            F.when(binomial_tail(F.col(f"{rule}_{i}"), F.col("n"), part) <= level, F.lit(float(c))) for i, c in enumerate(grid)
         ]
         chosen.append(F.array_min(F.array(*allowed)).alias(f"max_{rule}"))
     return tested.select(F.col("stratum").alias("of"), *chosen)
@@ -180,11 +188,7 @@ def judge(
 ) -> DataFrame:
     """Base columns of every text and whether it is kept."""
     rows = store(metrics(measured(docs, key, text, stratum)).withColumn("base_failed", base_failed()), "quality")
-    marks = labels.where(F.col(quality).isNotNull() & F.col(key).isNotNull())
-    good = marks.groupBy(F.col(key).alias("labelled")).agg(F.min(quality).alias("good")).where(F.col("good") == 1)
-    good = store(good, "good")
-    holdout = rows.where(~F.col("base_failed")).join(good, F.col(key) == F.col("labelled"), "left_semi")
-    limits = cutoffs(holdout)
+    limits = cutoffs(trials(rows, labels, key, quality))
     judged = rows.join(limits, F.col("stratum").eqNullSafe(F.col("of")), "left")
     over = F.lit(False)
     for rule in GRIDS:

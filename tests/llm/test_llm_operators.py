@@ -388,7 +388,8 @@ def test_longest_match_is_that_of_the_document_alone(spark, docs, texts, block):
 
 def test_repeated_lines_and_short_words_are_rejected(spark):
     word = lambda i, k: f"w{i % 7}{'abcdefghij'[k % 10]}{k % 13}"
-    good = [(i, "\n".join(" ".join(word(i, 10 * j + k) + str(j) for k in range(10)) for j in range(6)), "xx") for i in range(800)]
+    # Different texts: each is one trial of the bounds.
+    good = [(i, f"v{i}\n" + "\n".join(" ".join(word(i, 10 * j + k) + str(j) for k in range(10)) for j in range(6)), "xx") for i in range(4000)]
     lines = [" ".join(word(j, k) + str(j) for k in range(10)) for j in range(6)]
     repeated = "\n".join(x for line in lines for x in (line, "read all of this"))
     odd = [(-1, repeated, "xx"), (-2, " ".join("abcdefghijklmnopqrstuvwxyz"), "xx"), (-3, "\n".join(lines), "xx"), (-4, repeated, "yy")]
