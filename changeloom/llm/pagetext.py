@@ -43,7 +43,7 @@ from changeloom.llm.frames import RangeHash, blocks, text_of
 PATHS, WORDS, NUMBERS = 512, 128, 6
 PATH_SIZE, WORD_SIZE, HIDDEN = 24, 8, 16
 TRAIN_PAGES, EPOCHS, BATCH, RATE = 1200, 8, 24, 0.02
-WORD_PAGES = 40
+WORD_PAGES, WORD_CHARS = 40, 20_000
 # Blocks labelled at once, padding included.
 CELLS = 1 << 14
 
@@ -68,7 +68,10 @@ NEVER_MAIN = frozenset("head nav aside form button select option optgroup menu d
 CLOSES_P = BLOCK_TAGS - {"button", "label", "option", "legend", "caption"}
 SAME_CLOSES = {"li": "li", "dt": "dd", "dd": "dt", "tr": "tr", "td": "td", "th": "th", "option": "option"}
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+>", re.S)
+NAME_END, SPECIAL = re.compile(r"[\s/>]"), re.compile(r"[>\"']")
+# Starts of tags that may come to nothing before a page counts as broken and its quotes are followed with care.
+OPEN_TAGS = 8
 NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PART = re.compile(r"[A-Za-z]+")
 
@@ -98,16 +101,68 @@ def element_tokens(tag: str, attributes: str) -> tuple[int, ...]:
     return tuple(path_bucket(t) for t in tokens)
 
 
+class Tags:
+    """The tags of a page, found in time in proportion to its length however broken it is.
+
+    A start of a tag that never ends is text. Whether one ends depends on the next angle bracket
+    outside quotes; quotes from which the page ends are remembered, as are the last
+    distances looked ahead.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last, self.open = page, page.rfind(">"), 0
+        self.dead: set[int] = set()
+        self.seen: dict[re.Pattern, tuple[int, int]] = {}
+
+    def search(self, at: int) -> re.Match | None:
+        """The first tag or comment from `at` on."""
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            if at > self.last:
+                # Only a comment may be left open to the end.
+                at = page.find("<!--", at)
+                return TAG.match(page, at) if at >= 0 else None
+            if self.open < OPEN_TAGS or page.startswith(("<!", "<?"), at) or self.ends(at):
+                if found := TAG.match(page, at):
+                    return found
+                self.open += 1
+            at += 1
+        return None
+
+    def ahead(self, what: re.Pattern, at: int) -> int:
+        """Where `what` comes next, the length of the page if nowhere."""
+        start, stop = self.seen.get(what, (0, -1))
+        if not start <= at <= stop:
+            found = what.search(self.page, at)
+            start, stop = self.seen[what] = at, found.start() if found else len(self.page)
+        return stop
+
+    def ends(self, at: int) -> bool:
+        """Whether the tag that starts at `at` ends."""
+        page, path = self.page, []
+        at = self.ahead(NAME_END, at + 1 + page.startswith("/", at + 1))
+        while True:
+            stop = self.ahead(SPECIAL, at)
+            if stop < len(page) and page[stop] == ">":
+                return True
+            close = page.find(page[stop], stop + 1) if stop < len(page) and stop not in self.dead else -1
+            path.append(stop)
+            if close < 0:
+                self.dead.update(path)
+                return False
+            at = close + 1
+
+
 def raw_end(page: str, tag: str, at: int) -> int:
     """Where the raw element `tag`, open at `at`, has ended."""
-    end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-    return end.end() if end else len(page)
+    end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
+    return page.find(">", end.end()) + 1 or len(page) if end else len(page)
 
 
-def svg_end(page: str, at: int, around: Counter[str]) -> int:
+def svg_end(page: str, tags: Tags, at: int, around: Counter[str]) -> int:
     """Where the drawing open at `at` has ended; `around` counts the open elements of the page."""
     inner, count = ["svg"], Counter(["svg"])
-    while found := TAG.search(page, at):
+    while found := tags.search(at):
         tag = (found[2] or "").lower()
         if tag and found[1]:
             if count[tag]:
@@ -128,11 +183,11 @@ def svg_end(page: str, at: int, around: Counter[str]) -> int:
     return len(page)
 
 
-def template_ends(page: str, at: int) -> dict[int, int]:
+def template_ends(page: str, tags: Tags, at: int) -> dict[int, int]:
     """End of every closed template from `at` on, by the end of its start tag."""
     ends: dict[int, int] = {}
     opened: list[int] = []
-    while found := TAG.search(page, at):
+    while found := tags.search(at):
         at = found.end()
         tag = (found[2] or "").lower()
         if tag == "template" and found[1]:
@@ -196,9 +251,9 @@ def page_blocks(page: str) -> list[Block]:
             while pop() != tag:
                 pass
 
-    n = len(page)
+    n, tags = len(page), Tags(page)
     while at < n:
-        found = TAG.search(page, at)
+        found = tags.search(at)
         stop = found.start() if found else n
         if stop > at:
             parts.append(page[at:stop])
@@ -226,9 +281,9 @@ def page_blocks(page: str) -> list[Block]:
             if found[3].endswith("/"):
                 continue
             if tag == "svg":
-                at = svg_end(page, at, open_tags)
+                at = svg_end(page, tags, at, open_tags)
             elif tag == "template":
-                templates = template_ends(page, found.start()) if templates is None else templates
+                templates = template_ends(page, tags, found.start()) if templates is None else templates
                 at = templates.get(at, at)
             else:
                 at = raw_end(page, tag, at)
@@ -530,8 +585,14 @@ def train(lexicon: list[str], seed: int = 11) -> Labeller:
 
 
 def lexicon_of(pages: DataFrame, column: str = "html") -> list[str]:
-    """Words of the blocks of up to WORD_PAGES rows, for the text of generated pages."""
-    rows = pages.where(F.length(column) < 20_000).select(column).orderBy(F.xxhash64(column)).limit(WORD_PAGES).collect()
+    """Words of the blocks of WORD_PAGES pages, for the text of generated pages.
+
+    Of a page longer than WORD_CHARS a stretch of that length counts, from a hashed place on.
+    """
+    body = text_of(pages, column)
+    drawn = F.xxhash64("body")
+    start = 1 + F.pmod(drawn, F.greatest(F.length("body") - WORD_CHARS + 1, F.lit(1)))
+    rows = pages.select(body.alias("body")).orderBy(drawn).limit(WORD_PAGES).select(F.substring("body", start.cast("int"), F.lit(WORD_CHARS))).collect()
     return sorted({w for r in rows for b in page_blocks(r[0]) for w in b.text.split()})
 
 
