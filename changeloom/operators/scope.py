@@ -24,14 +24,14 @@ def split_by_null(df: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFram
 
 
 def match_groups(
-    df: DataFrame, affected: DataFrame, on: Sequence[str], how: str, limit: int, stored: bool = False
+    df: DataFrame, affected: DataFrame, on: Sequence[str], how: str, limit: int, stored: bool = True
 ) -> DataFrame:
     """Semi or anti join on groups in which null equals null.
 
-    Groups are compared as structs, in which nulls are equal, so `df` is read once. With `stored`,
-    for a table in folders of its groups, complete groups join on plain equality with a predicate
-    on the counted groups: that is what lets Spark prune the folders to them. Groups
-    with a null, folders of their own, are joined apart.
+    In a table that is `stored` in folders of its groups, complete groups join on plain equality with
+    a predicate on the counted groups: that is what lets Spark prune the folders to them. Groups
+    with a null, folders of their own, are joined apart. Rows that are computed would be computed
+    twice that way; their groups are compared as structs, in which nulls are equal.
     """
     on = list(on)
     if not stored:
@@ -47,7 +47,7 @@ def match_groups(
 
 
 def scope_to(
-    df: DataFrame, affected: DataFrame, on: Sequence[str], limit: int = BROADCAST_BYTES, stored: bool = False
+    df: DataFrame, affected: DataFrame, on: Sequence[str], limit: int = BROADCAST_BYTES, stored: bool = True
 ) -> DataFrame:
     """Rows of `df` in an affected group (semi-join on the typed columns; null equals null)."""
     return match_groups(df, affected.select(*on), on, "left_semi", limit, stored)
@@ -59,7 +59,7 @@ def replace_groups(
     recomputed: DataFrame,
     on: Sequence[str],
     limit: int = BROADCAST_BYTES,
-    stored: bool = False,
+    stored: bool = True,
 ) -> DataFrame:
     """`old` with every affected group replaced by its recomputed rows.
 

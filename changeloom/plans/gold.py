@@ -379,7 +379,7 @@ def affected_by(model: GoldModel, changes: Tables) -> DataFrame | None:
     return affected_groups(watched, model.group) if watched else None
 
 
-def rebuilt(model: GoldModel, affected: DataFrame, t: Tables, stored: bool = False) -> DataFrame:
+def rebuilt(model: GoldModel, affected: DataFrame, t: Tables, stored: bool = True) -> DataFrame:
     """The affected groups anew, from inputs cut to them; `stored` inputs lie in folders of their sessions."""
     scoped = {
         name: scope_to(df, affected, model.group, stored=stored)
@@ -391,15 +391,17 @@ def rebuilt(model: GoldModel, affected: DataFrame, t: Tables, stored: bool = Fal
     return model.build(scoped)
 
 
-def refresh(model: GoldModel, old: DataFrame | None, changes: Tables, t: Tables) -> DataFrame:
+def refresh(
+    model: GoldModel, old: DataFrame | None, changes: Tables, t: Tables, stored: bool = True
+) -> DataFrame:
     """New content of a model after `changes` (changed rows per silver table).
 
     Every input is cut to the affected groups before it is read, and whole groups
-    are replaced, so the result equals a full rebuild.
+    are replaced, so the result equals a full rebuild. `stored` inputs lie in folders of their sessions.
     """
     if old is None or not model.watched:
         return model.build(t)
     affected = affected_by(model, changes)
     if affected is None:
         return old
-    return replace_groups(old, affected, rebuilt(model, affected, t), model.group)
+    return replace_groups(old, affected, rebuilt(model, affected, t, stored), model.group, stored=stored)

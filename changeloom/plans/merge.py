@@ -73,7 +73,7 @@ def merge_changes(
             sources.append(index_of(spark, path, model.keys, old).find(batch))
         affected_groups(sources, SESSION).write.parquet(f"{work}/touched")
         touched = spark.read.parquet(f"{work}/touched")
-        rows = scope_to(old, touched, SESSION, stored=True).unionByName(batch)
+        rows = scope_to(old, touched, SESSION).unionByName(batch)
     else:
         affected_groups([batch], SESSION).write.parquet(f"{work}/touched")
         touched = spark.read.parquet(f"{work}/touched")
@@ -123,10 +123,10 @@ def expect_unique_elsewhere(
     """
     column = index.keys[0]
     pairs = index.find(staged)
-    elsewhere = match_groups(pairs, touched, SESSION, "left_anti", BROADCAST_BYTES)
+    elsewhere = match_groups(pairs, touched, SESSION, "left_anti", BROADCAST_BYTES, stored=False)
     if elsewhere.isEmpty():
         return
-    there = scope_to(old, elsewhere.select(*SESSION), SESSION, stored=True).select(column)
+    there = scope_to(old, elsewhere.select(*SESSION), SESSION).select(column)
     both = there.join(staged.select(column).distinct(), [column], "left_semi").distinct().count()
     if both:
         raise ExpectationFailed(f"{name}: unique({column}): {both} in other sessions")

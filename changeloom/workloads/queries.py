@@ -368,14 +368,14 @@ def _recent(spark, sf_dir, name) -> DataFrame:
 @query
 def scope_season(spark, sf_dir):
     affected = scope.affected_groups([_recent(spark, sf_dir, "laps")], ["season"])
-    scoped = scope.scope_to(changes(spark, sf_dir, "laps"), affected, ["season"])
+    scoped = scope.scope_to(changes(spark, sf_dir, "laps"), affected, ["season"], stored=False)
     return scoped.select("event_id", "season", "lap_time_ms")
 
 
 @query
 def scope_race(spark, sf_dir):
     affected = scope.affected_groups([_recent(spark, sf_dir, "laps")], RACE)
-    scoped = scope.scope_to(changes(spark, sf_dir, "laps"), affected, RACE, NO_BROADCAST)
+    scoped = scope.scope_to(changes(spark, sf_dir, "laps"), affected, RACE, NO_BROADCAST, stored=False)
     return scoped.select("event_id", *RACE, "lap_time_ms")
 
 
@@ -393,7 +393,7 @@ def scope_pruned(spark, sf_dir):
 def scope_many_sources(spark, sf_dir):
     names = ("results", "laps", "weather", "race_control")
     affected = scope.affected_groups([_recent(spark, sf_dir, n) for n in names], RACE)
-    scoped = scope.scope_to(changes(spark, sf_dir, "results"), affected, RACE)
+    scoped = scope.scope_to(changes(spark, sf_dir, "results"), affected, RACE, stored=False)
     return scoped.select("event_id", *RACE, "driver_code")
 
 
@@ -421,7 +421,7 @@ def _refreshed(spark, sf_dir, name) -> DataFrame:
             )
             touched[n] = scope.affected_groups([recent, replaced], SESSION)
     old = model.build(before)
-    return gold.refresh(model, old, touched, {n: now[n] for n in model.inputs})
+    return gold.refresh(model, old, touched, {n: now[n] for n in model.inputs}, stored=False)
 
 
 @query

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.java_gateway import ensure_callback_server_started
 
 from changeloom.operators import cdc, scope
 from changeloom.plans import gold, silver
@@ -88,3 +89,38 @@ def test_no_cross_joins_and_no_python(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "MapInPandas"):
         assert unwanted not in text
+
+
+class Plans:
+    """Physical plans of everything that runs while it listens."""
+
+    def __init__(self, spark):
+        self.spark, self.seen = spark, []
+
+    def onSuccess(self, name, execution, nanos):
+        self.seen.append(execution.executedPlan().toString())
+
+    def onFailure(self, name, execution, error):
+        pass
+
+    class Java:
+        implements = ["org.apache.spark.sql.util.QueryExecutionListener"]
+
+    def __enter__(self):
+        ensure_callback_server_started(self.spark.sparkContext._gateway)
+        self.spark._jsparkSession.listenerManager().register(self)
+        return self
+
+    def __exit__(self, *_):
+        self.spark._jsc.sc().listenerBus().waitUntilEmpty()
+        self.spark._jsparkSession.listenerManager().unregister(self)
+
+
+@pytest.mark.parametrize("name", ["merge_stored_results", "merge_stored_laps", "merge_null_sessions", "refresh_gated", "bronze_wider_while_draining"])
+def test_writes_run_no_cross_joins_and_no_python(spark, name):
+    with Plans(spark) as plans:
+        QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
+    assert len(plans.seen) > 5
+    for text in plans.seen:
+        for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "MapInPandas", "MapInArrow"):
+            assert unwanted not in text

@@ -5,7 +5,7 @@ from builders import rows
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from changeloom.operators import joins, replay, scan
+from changeloom.operators import joins, replay, scan, scope
 from changeloom.operators.replay import due_times
 from changeloom.sources import rotation
 
@@ -115,3 +115,13 @@ def test_rotation_equals_a_walk(spark, monkeypatch, records, block, together):
         at[r.topic] = (number, first, held + 1)
         files[r.id] = number
     assert {r.id: r.file for r in found} == files and len(found) == 1500
+
+
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, -1])
+def test_both_forms_of_scoping_agree(spark, how, limit):
+    df = spark.range(900).selectExpr("id", "CASE WHEN id % 7 > 0 THEN id % 5 END AS g", "CASE WHEN id % 11 > 0 THEN id % 3 END AS h")
+    affected = spark.createDataFrame([(1, 1), (None, 2), (3, None), (None, None), (9, 9), (1, 1)], "g long, h long")
+    stored, computed = ([r.id for r in scope.match_groups(df, affected, ["g", "h"], how, limit, stored=s).collect()] for s in (True, False))
+    wanted = {tuple(r) for r in affected.collect()}
+    assert sorted(stored) == sorted(computed) == [r.id for r in df.collect() if ((r.g, r.h) in wanted) == (how == "left_semi")]
