@@ -35,7 +35,8 @@ from changeloom.llm.frames import RangeHash, blocks, store, text_of, utf8
 WINDOW = 13
 # A document is contaminated if at least 1/SHARE of its words are hit.
 SHARE = 20
-ITEM_BLOCK_BYTES = 16 << 20
+# An indexed block takes about 140 times its bytes on the driver.
+ITEM_BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 1 << 19
 
 
@@ -252,8 +253,10 @@ STATE = "runs array<long>, items array<string>, longest long"
 
 
 def item_blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[list[tuple[str, str]]]:
-    """Benchmark items in blocks of about `limit` bytes; only one block is on the driver at a time."""
+    """Different benchmark items in blocks of about `limit` bytes; only one block is on the driver at a time."""
     slim = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("null")).alias("name"), text_of(benchmark, text).alias("body"))
+    # Repeated rows would share a block.
+    slim = slim.dropDuplicates(["name", "body"])
     total = slim.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     number = max(1, -(-total // limit))
     part = F.pmod(F.xxhash64("name", "body"), F.lit(number))
