@@ -6,7 +6,7 @@ that start or end in a letter are hashed into BUCKETS. The log-probability matri
 scored at once as the product of its sparse count matrix with it.
 
 The classifier is fitted on a bounded sample: about SAMPLE_PER_LANGUAGE labelled
-documents of each language, drawn by the hash of their key. Nulls and texts
+documents of each language, drawn by the hash of key and text. Nulls and texts
 without a letter are `und` with score 0; so is every text if nothing is labelled.
 Ties go to the first language in alphabetical order. Repeated rows are scored one
 by one, texts of any length whole; empty tables give no rows; other columns are
@@ -108,7 +108,8 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
         return Model((), np.zeros((BUCKETS, 0)))
     slots = 1_000_000
     shares = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(slots, -(-SAMPLE_PER_LANGUAGE * slots // n)))])
-    drawn = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("language")), F.lit(slots)) < shares[F.col(lang).cast("string")]
+    # By key and text: rows without a key, or with one key, are not drawn all or none.
+    drawn = F.pmod(F.xxhash64(F.col(key).cast("string"), text_of(rows, text), F.lit("language")), F.lit(slots)) < shares[F.col(lang).cast("string")]
     sample = rows.where(drawn).select(F.col(lang).cast("string").alias("name"), text_of(rows, text).alias("body"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
