@@ -22,10 +22,11 @@ def squared(millis: str) -> Column:
 def stddev_seconds(count: str, millis_sum: str, squares_sum: str) -> Column:
     """Sample deviation in seconds over groups with (count, sum, sum of squares) of milliseconds.
 
-    n * sum(x^2) - sum(x)^2 is an exact integer, so close values do not cancel.
+    n * sum(x^2) - sum(x)^2 is an exact integer, so close values do not cancel. The types hold
+    10^12 laps of up to an hour in one group.
     """
-    n = F.sum(count).cast("decimal(10,0)")
-    total = F.sum(millis_sum).cast("decimal(18,0)")
-    spread = n * F.sum(squares_sum).cast("decimal(27,0)") - total * total
+    n = F.sum(count).cast("decimal(12,0)")
+    total = F.sum(millis_sum).cast("decimal(19,0)")
+    spread = n * F.sum(squares_sum).cast("decimal(26,0)") - total * total
     rows = F.sum(count).cast("double")
     return F.when(rows > 1, F.sqrt(spread.cast("double") / (rows * (rows - 1))) / 1000.0)
