@@ -589,10 +589,13 @@ def lexicon_of(pages: DataFrame, column: str = "html") -> list[str]:
 
     Of a page longer than WORD_CHARS a stretch of that length counts, from a hashed place on.
     """
+    # Few rows are drawn and equal pages are one, so what reaches the driver does not grow with the table.
+    every = max(1, pages.count() // (4 * WORD_PAGES))
     body = text_of(pages, column)
-    drawn = F.xxhash64("body")
-    start = 1 + F.pmod(drawn, F.greatest(F.length("body") - WORD_CHARS + 1, F.lit(1)))
-    rows = pages.select(body.alias("body")).orderBy(drawn).limit(WORD_PAGES).select(F.substring("body", start.cast("int"), F.lit(WORD_CHARS))).collect()
+    start = 1 + F.pmod(F.xxhash64(body), F.greatest(F.length(body) - WORD_CHARS + 1, F.lit(1)))
+    piece = F.substring(body, start.cast("int"), F.lit(WORD_CHARS)).alias("piece")
+    drawn = pages.select(F.xxhash64(body).alias("drawn"), piece).where(F.pmod("drawn", F.lit(every)) == 0)
+    rows = drawn.groupBy("drawn").agg(F.first("piece").alias("piece")).orderBy("drawn").limit(WORD_PAGES).select("piece").collect()
     return sorted({w for r in rows for b in page_blocks(r[0]) for w in b.text.split()})
 
 
