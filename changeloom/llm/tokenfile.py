@@ -140,11 +140,13 @@ def sample_arrays(docs: DataFrame, tokenizer: LibraryTokenizer, width: int, key:
     The dictionary alone is fitted on them; it changes sizes, never contents.
     """
     every = max(1, docs.count() // SAMPLE_DOCUMENTS)
-    drawn = F.xxhash64(F.col(key), text_of(docs, text))
-    chosen = docs.select(text_of(docs, text).alias("body"), drawn.alias("drawn")).where(F.pmod("drawn", F.lit(every)) == 0)
-    some = chosen.orderBy("drawn").limit(2 * SAMPLE_DOCUMENTS)
-    start = 1 + F.pmod(F.hash("drawn"), F.greatest(F.length("body") - 8 * SAMPLE_IDS + 1, F.lit(1)))
-    texts = [r[0] for r in some.select(F.substring("body", start, F.lit(8 * SAMPLE_IDS))).collect()]
+    # Equal rows count once, so what reaches the driver does not grow with the copies.
+    body = text_of(docs, text)
+    start = 1 + F.pmod(F.hash(body), F.greatest(F.length(body) - 8 * SAMPLE_IDS + 1, F.lit(1)))
+    piece = F.substring(body, start, F.lit(8 * SAMPLE_IDS)).alias("piece")
+    drawn = docs.select(F.xxhash64(F.col(key), body).alias("drawn"), piece).where(F.pmod("drawn", F.lit(every)) == 0)
+    some = drawn.groupBy("drawn").agg(F.first("piece").alias("piece")).orderBy("drawn").limit(2 * SAMPLE_DOCUMENTS)
+    texts = [r[0] for r in some.select("piece").collect()]
     return [ids[:SAMPLE_IDS].astype(id_type(width)).tobytes() for ids in tokenizer.load()(texts)]
 
 
