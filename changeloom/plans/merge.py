@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +25,7 @@ from changeloom.plans.silver import (
     state,
 )
 from changeloom.schemas import SESSION, change_schema
-from changeloom.sources.tables import replace_partitions
+from changeloom.sources.tables import finish_replacement, replace_noted
 from changeloom.session import shared_dir
 
 
@@ -59,8 +61,10 @@ def merge_changes(
     Only sessions named by the batch, or holding an older copy of one of its
     keys, are read and rewritten; an index tells which hold one. With `gate`, the new rows must
     pass the model's expectations before readers see them, and a value that must be unique may not be in
-    a session that is left alone either. Applying a batch twice changes nothing.
+    a session that is left alone either. Applying a batch twice changes nothing, and a merge that was
+    interrupted while it replaced partitions is finished first.
     """
+    finish_replacement(spark, path)
     work = shared_dir(spark, f"merge-{model.name}")
     state(model, changes).write.parquet(f"{work}/batch")
     batch = spark.read.parquet(f"{work}/batch")
@@ -78,20 +82,28 @@ def merge_changes(
         affected_groups([batch], SESSION).write.parquet(f"{work}/touched")
         touched = spark.read.parquet(f"{work}/touched")
         rows = batch
-    newest = newest_copy(rows, model.keys)
-    if model.reads_twice:
-        newest.write.parquet(f"{work}/rows")
-        newest = spark.read.parquet(f"{work}/rows")
-    complete(model, newest, f"{work}/derived").write.parquet(f"{work}/table")
-    staged = spark.read.parquet(f"{work}/table")
-    if gate:
-        expect(live(staged), model.rules, model.name)
-    for columns in indexed(model):
-        index = index_of(spark, path, columns, old)
-        if gate and old is not None and columns != model.keys:
-            expect_unique_elsewhere(index, live(staged), live(old), touched, model.name)
-        index.add(staged)
-    replace_partitions(staged, path, SESSION)
+    indexes = {columns: index_of(spark, path, columns, old) for columns in indexed(model)}
+
+    def add() -> None:
+        # What the state holds is in them already.
+        for index in indexes.values():
+            index.add(batch)
+
+    with ThreadPoolExecutor(1) as pool:
+        adding = pool.submit(inheritable_thread_target(spark)(add))
+        newest = newest_copy(rows, model.keys)
+        if model.reads_twice:
+            newest.write.parquet(f"{work}/rows")
+            newest = spark.read.parquet(f"{work}/rows")
+        complete(model, newest, f"{work}/derived").write.parquet(f"{work}/table")
+        staged = spark.read.parquet(f"{work}/table")
+        if gate:
+            expect(live(staged), model.rules, model.name)
+            for columns, index in indexes.items():
+                if old is not None and columns != model.keys:
+                    expect_unique_elsewhere(index, live(staged), live(old), touched, model.name)
+        adding.result()
+    replace_noted(spark, f"{work}/table", staged.schema, path, SESSION)
     return Merged(touched)
 
 
@@ -140,6 +152,7 @@ def stored_schema(spark: SparkSession, model: SilverModel) -> T.StructType:
 
 def read_live(spark: SparkSession, path: str, model: SilverModel) -> DataFrame:
     """Live rows of the state at `path`."""
+    finish_replacement(spark, path)
     return live(spark.read.schema(stored_schema(spark, model)).parquet(path))
 
 

@@ -68,9 +68,8 @@ class Tables:
         if number is None:
             raise FileNotFoundError(self.path(name))
         target = f"{self.path(name)}/v={number}"
-        schema = self._schema(target)
-        self._finish(target, schema)
-        return self.spark.read.schema(schema).parquet(target)
+        finish_replacement(self.spark, target)
+        return self.spark.read.schema(self._schema(target)).parquet(target)
 
     def _schema(self, target: str) -> T.StructType:
         """Schema stored in the ready marker: a version without rows has no file to tell it."""
@@ -128,22 +127,9 @@ class Tables:
         placed = old.select(*group, F.col("_metadata.file_path").alias("file"))
         target = f"{self.path(name)}/v={self.version(name)}"
         emptied = folders(scope_to(placed, affected, group), target) - written
-        pending = {"staged": staged_at, "partition_by": list(partition_by), "emptied": sorted(emptied)}
-        write_text(self.spark, f"{target}/{_PENDING}", json.dumps(pending))
+        replace_noted(self.spark, staged_at, old.schema, target, partition_by, sorted(emptied))
         return self.read(name)
 
-    def _finish(self, target: str, schema: T.StructType) -> None:
-        """Carry out a replacement that was noted; doing so again changes nothing."""
-        if not exists(self.spark, f"{target}/{_PENDING}"):
-            return
-        pending = json.loads(read_text(self.spark, f"{target}/{_PENDING}"))
-        staged = self.spark.read.schema(schema).parquet(pending["staged"])
-        replace_partitions(staged, target, pending["partition_by"])
-        for folder in pending["emptied"]:
-            remove(self.spark, f"{target}/{folder}")
-        remove(self.spark, f"{target}/{_PENDING}")
-        remove(self.spark, pending["staged"])
-
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """Plain append to an unversioned table folder."""
         writer = balanced(df, partition_by).write.mode("append")
@@ -186,3 +172,35 @@ def replace_partitions(staged: DataFrame, path: str, partition_by: Sequence[str]
         .partitionBy(*partition_by)
         .parquet(path)
     )
+
+
+def replace_noted(
+    spark: SparkSession,
+    staged_at: str,
+    schema: T.StructType,
+    path: str,
+    partition_by: Sequence[str],
+    emptied: Sequence[str] = (),
+) -> None:
+    """Put the partitions staged at `staged_at` in the place of those at `path`, and drop the `emptied` folders.
+
+    Partitions are replaced one after the other, and one may be gone for a moment. What is to be done
+    is noted first, so that an interrupted replacement is finished from the staged rows.
+    """
+    pending = {"staged": staged_at, "schema": schema.jsonValue(), "partition_by": list(partition_by), "emptied": list(emptied)}
+    write_text(spark, f"{path}/{_PENDING}", json.dumps(pending))
+    finish_replacement(spark, path)
+
+
+def finish_replacement(spark: SparkSession, path: str) -> None:
+    """Carry out a replacement that was noted; doing so again changes nothing."""
+    note = f"{path}/{_PENDING}"
+    if not exists(spark, note):
+        return
+    pending = json.loads(read_text(spark, note))
+    staged = spark.read.schema(T.StructType.fromJson(pending["schema"])).parquet(pending["staged"])
+    replace_partitions(staged, path, pending["partition_by"])
+    for folder in pending["emptied"]:
+        remove(spark, f"{path}/{folder}")
+    remove(spark, note)
+    remove(spark, pending["staged"])

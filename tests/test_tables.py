@@ -234,3 +234,24 @@ def test_values_are_unique_in_sessions_left_alone_too(spark, folder):
     merge_changes(spark, model, batch(3, (3, 2021, 2, "d")), path)
     merge_changes(spark, model, batch(4, (3, 2022, 5, "c")), path)
     assert rows(read_live(spark, path, model), "event_id", "season") == [(1, 2020), (2, 2021), (3, 2022)]
+
+
+def test_interrupted_merge_is_finished_from_its_staged_rows(spark, folder, monkeypatch):
+    model, path = silver.MODELS["results"], f"{folder}/state"
+
+    def batch(lsn, *events):
+        return log(spark, "results", [change(lsn, "u", event_id=i, season=s, driver_code="A", points=float(lsn)) for i, s in events])
+
+    merge_changes(spark, model, batch(1, (1, 2020), (2, 2020), (3, 2021)), path)
+
+    def broken(staged, target, columns):
+        # As when a partition is gone and the new one not in its place yet.
+        tables.remove(spark, f"{target}/season=2020")
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "replace_partitions", broken)
+        with pytest.raises(OSError, match="lost"):
+            merge_changes(spark, model, batch(2, (1, 2020)), path)
+    merge_changes(spark, model, batch(3, (3, 2021)), path)
+    assert rows(read_live(spark, path, model), "event_id", "points") == [(1, 2.0), (2, 1.0), (3, 3.0)]
