@@ -349,9 +349,12 @@ def judged(found: DataFrame, share: int = SHARE) -> DataFrame:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """Per document: n_words, n_hit, n_items, items_sha256, contaminated, longest match in words."""
-    rows = judged(hits(docs, benchmark, key, **options))
-    return rows.select(key, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest")
+    """Per document: n_words, n_hit, n_items, items_sha256, contaminated, longest match in words, places.
+
+    `places` are the runs of hit words as start, end, start, end ..., words from 0, ends exclusive.
+    """
+    rows = judged(hits(docs, benchmark, key, **options)).withColumnRenamed("runs", "places")
+    return rows.select(key, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest", "places")
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:

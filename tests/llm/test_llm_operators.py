@@ -221,6 +221,9 @@ def test_contamination_matches_brute_force(spark, docs, texts, block):
         listed = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
         bad = len(hit) > 0 and 20 * len(hit) >= len(own)
         assert tuple(r)[1:6] == (len(own), len(hit), len(names), listed, bad)
+        starts, ends = r.places[::2], r.places[1::2]
+        assert {k for a, b in zip(starts, ends, strict=True) for k in range(a, b)} == hit
+        assert all(b < a for b, a in zip(ends, starts[1:]))  # noqa: B905
     assert decontam.contamination(docs, items.limit(0)).where("contaminated").count() == 0
     assert decontam.remove(empty(docs), items).count() == 0
 
