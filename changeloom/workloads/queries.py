@@ -17,7 +17,7 @@ from changeloom.operators.ordered import neighbours
 from changeloom.operators.scan import asof_join
 from changeloom.operators.scd2 import OPEN_END, one_row_per_seq, scd2_islands
 from changeloom.plans import gold, panel, silver
-from changeloom.plans.merge import merge_changes, read_live
+from changeloom.plans.merge import keys_move, merge_changes, read_live
 from changeloom.plans.refresh import refresh_all
 from changeloom.schemas import DATASETS, RACE, SESSION, SOURCE_TABLES, change_schema, source_schema
 from changeloom.session import shared_dir, with_defaults
@@ -68,6 +68,7 @@ LAP_COLUMNS = (
 READ_FASTEST = {"fact_driver_season_summary", "mart_driver_race_result"}
 # Gold models that read the results for races, qualifying and both dimensions.
 READ_RESULTS_OFTEN = {"mart_driver_race_result"}
+DIMENSIONS = ("dim_driver_scd2", "dim_team_scd2")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -78,11 +79,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 class Lazy(dict):
-    """Silver and gold tables of the test data by name, built on first use."""
+    """Silver and gold tables of the test data by name, built on first use.
 
-    def __init__(self, spark, sf_dir, model: str):
+    `cut` chooses the change rows of a dataset that take part, by default all.
+    """
+
+    def __init__(self, spark, sf_dir, model: str, cut: Callable[[str, DataFrame], DataFrame] = lambda name, log: log):
         super().__init__()
         self._source = (spark, sf_dir)
+        self._cut = cut
         self._fastest = model in READ_FASTEST
         self._stores = model in READ_RESULTS_OFTEN
 
@@ -90,19 +95,47 @@ class Lazy(dict):
         if name in gold.MODELS:
             self[name] = gold.MODELS[name].build(self)
         else:
-            log = changes(*self._source, name)
+            log = self._cut(name, changes(*self._source, name))
             self[name] = self.laps(log) if name == "laps" else silver.build(name, log)
-            if name == "results" and self._stores:
-                self[name] = stored(self[name], name)
+        # The mart reads the results and both dimensions several times.
+        if self._stores and name in ("results", *DIMENSIONS):
+            self[name] = stored(self[name], name)
         return self[name]
 
     def laps(self, log: DataFrame) -> DataFrame:
         """Laps with their flag, from a state written once; or without it."""
         if self._fastest:
-            folder = shared_dir(log.sparkSession, "laps")
-            return silver.build("laps", log, folder, LAP_COLUMNS)
+            self._lap_folder = shared_dir(log.sparkSession, "laps")
+            return silver.build("laps", log, self._lap_folder, LAP_COLUMNS)
         return silver.live(silver.state(silver.MODELS["laps"], log))
 
+    def lap_state(self) -> DataFrame:
+        """The stored state behind the flagged laps."""
+        self["laps"]
+        return self._source[0].read.parquet(f"{self._lap_folder}/state")
+
+
+class After(Lazy):
+    """Tables with the recent changes, on top of those without them in `before`."""
+
+    def __init__(self, spark, sf_dir, model: str, before: Lazy, cut: Callable[[str, DataFrame], DataFrame]):
+        super().__init__(spark, sf_dir, model, cut)
+        self._before = before
+
+    def laps(self, log: DataFrame) -> DataFrame:
+        """The stored state goes on; only sessions that the recent changes name are collapsed anew."""
+        if not self._fastest:
+            return super().laps(log)
+        spark, model = log.sparkSession, silver.MODELS["laps"]
+        # Whatever the state before did not take, a change without a season included.
+        late = log.where(F.coalesce(_is_recent(), F.lit(True)))
+        named = stored(scope.affected_groups([late], SESSION), "named-laps")
+        again = silver.state(model, scope.scope_to(log, named, SESSION, stored=False))
+        earlier = self._before.lap_state()
+        again = stored(again.select(*earlier.columns), "again-laps")
+        kept = scope.replace_groups(earlier, named, again, SESSION, stored=False)
+        return silver.live(silver.complete(model, kept, shared_dir(spark, "derived")))
+
 
 def build_gold(spark, sf_dir, name: str) -> DataFrame:
     return gold.MODELS[name].build(Lazy(spark, sf_dir, name))
@@ -397,31 +430,38 @@ def scope_many_sources(spark, sf_dir):
     return scoped.select("event_id", *RACE, "driver_code")
 
 
+def _touched(spark, sf_dir, name: str) -> DataFrame:
+    """Sessions of the recent changes of a dataset and of the older copies they replace, written once.
+
+    Stored, their list has its true size, so that what is cut to it need not be shuffled whole.
+    """
+    model, log = silver.MODELS[name], changes(spark, sf_dir, name)
+    recent = log.where(_is_recent())
+    changed = [recent]
+    if keys_move(model):
+        keys = stored(recent.select(*model.keys).distinct(), f"recent-{name}")
+        # Only the changed keys are collapsed: the newest earlier row of a key is the same among its own rows.
+        older = joins.lookup_join(log.where(~_is_recent()), keys, model.keys, "left_semi")
+        changed.append(silver.state(model, older))
+    return stored(scope.affected_groups(changed, SESSION), f"touched-{name}")
+
+
 def _refreshed(spark, sf_dir, name) -> DataFrame:
     """Build without the recent changes, then refresh only what they touch.
 
     The changed groups also hold those of older copies the changes replace.
     """
     model = gold.MODELS[name]
-    now = Lazy(spark, sf_dir, name)
-    before = Lazy(spark, sf_dir, name)
-    touched = {}
-    for n in {*model.inputs, *model.watched} - set(gold.MODELS):
-        log = changes(spark, sf_dir, n)
-        earlier = log.where(~_is_recent())
-        before[n] = before.laps(earlier) if n == "laps" else silver.build(n, earlier)
-        if n in model.watched:
-            keys = silver.MODELS[n].keys
-            recent = log.where(_is_recent())
-            replaced = joins.lookup_join(
-                silver.state(silver.MODELS[n], earlier).select(*dict.fromkeys((*keys, *SESSION))),
-                recent.select(*keys).distinct(),
-                keys,
-                "left_semi",
-            )
-            touched[n] = scope.affected_groups([recent, replaced], SESSION)
-    old = model.build(before)
-    return gold.refresh(model, old, touched, {n: now[n] for n in model.inputs}, stored=False)
+    touched = {n: _touched(spark, sf_dir, n) for n in model.watched}
+    affected = gold.affected_by(model, touched)
+
+    def needed(n: str, log: DataFrame) -> DataFrame:
+        # A lap keeps its session, so whole groups can be cut out before they are collapsed.
+        return scope.scope_to(log, affected, model.group, stored=False) if n == "laps" else log
+
+    before = Lazy(spark, sf_dir, name, lambda n, log: log.where(~_is_recent()))
+    now = After(spark, sf_dir, name, before, needed if name not in READ_FASTEST else lambda n, log: log)
+    return gold.refresh(model, model.build(before), touched, {n: now[n] for n in model.inputs}, stored=False)
 
 
 @query
