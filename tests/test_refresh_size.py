@@ -1,10 +1,13 @@
 """What refreshes and merges leave unread, unshuffled and unwritten."""
 
 import pytest
-from builders import rows
+from builders import change, log, rows
 from pyspark.sql import functions as F
 
 from changeloom.operators.joins import estimated_bytes
+from changeloom.plans import merge, silver
+from changeloom.plans.merge import merge_changes, read_live
+from changeloom.sources import tables
 from changeloom.workloads import queries
 
 
@@ -53,3 +56,50 @@ def test_refreshed_facts_equal_a_full_build(spark, sf_dir, name):
     whole = queries.QUERIES[f"gold_{name}"](spark, sf_dir)
     columns = sorted(df.columns)
     assert df.count() > 0 and rows(df, *columns) == rows(whole, *columns)
+
+
+def laps_batch(spark, lsn, *laps):
+    return log(spark, "laps", [change(lsn, "u", event_id=i, season=s, lap_number=n, driver_code="A", lap_time_ms=70_000 + i) for i, s, n in laps])
+
+
+def test_first_merge_collapses_its_rows_once(spark, folder, monkeypatch):
+    called = []
+    real = merge.newest_copy
+    monkeypatch.setattr(merge, "newest_copy", lambda rows_, keys: called.append(keys) or real(rows_, keys))
+    model, path = silver.MODELS["laps"], f"{folder}/state"
+    merge_changes(spark, model, laps_batch(spark, 1, (1, 2020, 1), (2, 2020, 2), (3, 2021, 1)), path)
+    assert called == []
+    merge_changes(spark, model, laps_batch(spark, 2, (4, 2020, 1)), path)
+    assert len(called) == 1
+    state = read_live(spark, path, model)
+    assert rows(state, "season", "event_id", "is_fastest_lap") == [(2020, 2, True), (2020, 4, False), (2021, 3, True)]
+
+
+def test_replaced_partitions_are_moved_not_written_again(spark, folder, monkeypatch):
+    def refused(df, by):
+        raise AssertionError("rows of a staged table are shuffled again")
+
+    model, path = silver.MODELS["laps"], f"{folder}/state"
+    monkeypatch.setattr(tables, "balanced", refused)
+    merge_changes(spark, model, laps_batch(spark, 1, (1, 2020, 1), (3, 2021, 1)), path)
+    merge_changes(spark, model, laps_batch(spark, 2, (4, 2020, 1), (5, None, 1)), path)
+    state = read_live(spark, path, model)
+    assert rows(state, "season", "event_id") == [(2020, 4), (2021, 3), (None, 5)]
+
+
+def test_streamed_results_are_landed_in_files_of_any_number(spark, sf_dir, monkeypatch):
+    """Three batches, whatever the number of files: a file does not grow with the table."""
+    seen = {}
+    real = queries.bronze_stream.finish
+    monkeypatch.setattr(queries.bronze_stream, "finish", lambda running: seen.update(real(running)))
+    wanted = rows(queries.silver_results(spark, sf_dir), "event_id", "points")
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    written = []
+    reader = queries.bronze_stream.read_new_files
+    monkeypatch.setattr(queries.bronze_stream, "read_new_files", lambda s, path, *a, **k: written.append(len(s.read.parquet(path).inputFiles())) or reader(s, path, *a, **k))
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        found = rows(queries.stream_silver_results(spark, sf_dir), "event_id", "points")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    assert found == wanted and written == [7] and seen["batches"] == 3
