@@ -1065,9 +1065,11 @@ def stream_silver_results(spark, sf_dir):
     """Bronze files streamed in small batches into the silver state."""
     landing = shared_dir(spark, "bronze")
     log = _as_change_rows(changes(spark, sf_dir, "results"), "results")
-    log.repartition(3, "__source_lsn").write.parquet(landing)
+    # As many files as the session's shuffles have partitions, so that none grows with the table, in three batches.
+    files = max(3, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    log.repartition(files, "__source_lsn").write.parquet(landing)
     stream = bronze_stream.read_new_files(
-        spark, landing, change_schema("results"), "parquet", files_per_trigger=1
+        spark, landing, change_schema("results"), "parquet", files_per_trigger=-(-files // 3)
     )
     state = shared_dir(spark, "state")
     bronze_stream.finish(
