@@ -10,6 +10,7 @@ from functools import reduce, wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from changeloom.functions.clean import clamp, race_seq, seq_round, seq_season
 from changeloom.operators import cdc, joins, quality, replay, scope, winners
@@ -544,15 +545,29 @@ def merge_null_sessions(spark, sf_dir):
     return read_live(spark, path, silver.MODELS["results"])
 
 
+def _with_own_ids(log: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Change rows in which no two keys share an event id; the order of ids stays.
+
+    The keys of a shared id are numbered, so every id is multiplied by no more than the most keys that share one.
+    """
+    counted = log.where(F.col("event_id").isNotNull()).groupBy("event_id").agg(F.count(F.lit(1)).alias("_n"))
+    shared = stored(counted.where("_n > 1").select("event_id"), "shared-ids")
+    # Compared as a struct, in which nulls are equal.
+    keyed = log.withColumn("_key", F.struct(*keys))
+    holders = joins.lookup_join(keyed.select("event_id", "_key"), shared, ["event_id"], "left_semi").distinct()
+    nth = F.row_number().over(Window.partitionBy("event_id").orderBy("_key")) - 1
+    numbered = stored(holders.withColumn("_nth", nth), "shared-keys")
+    most = numbered.agg(F.coalesce(F.max("_nth") + 1, F.lit(1)).cast("long")).scalar()
+    numbers = joins.lookup_join(keyed, numbered, ["event_id", "_key"])
+    return numbers.withColumn("event_id", F.col("event_id") * most + F.coalesce("_nth", F.lit(0))).select(*log.columns)
+
+
 @query
 def merge_duplicate_elsewhere(spark, sf_dir):
     """A batch that repeats event ids of sessions it does not touch is refused; the state before it stays."""
     path = shared_dir(spark, "state")
     model = replace(silver.MODELS["laps"], rules=(*silver.MODELS["laps"].rules, quality.Unique("event_id")))
-    log = changes(spark, sf_dir, "laps")
-    # A few laps share an id in the test data; the order of ids stays.
-    apart = F.col("event_id") * 1024 + F.pmod(F.xxhash64(*SESSION, "driver_number"), F.lit(1024))
-    log = log.withColumn("event_id", apart)
+    log = _with_own_ids(changes(spark, sf_dir, "laps"), model.keys)
     merge_changes(spark, model, log, path)
     # The same laps in rounds that no season has, under the ids they have already.
     again = log.withColumn("round", F.col("round") + 100)
