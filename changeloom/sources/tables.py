@@ -12,15 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeloom.operators.joins import BROADCAST_BYTES
+from changeloom.operators.joins import BROADCAST_BYTES, fits_broadcast
 from changeloom.operators.quality import Grain, Rule, expect
 from changeloom.operators.scope import match_groups, scope_to
+from changeloom.sources.blocks import fits_blocks, packed, unpacked
 from changeloom.sources.files import exists, locate, read_text, remove, write_text
 
 # Medallion namespaces.
 LAYERS = ("bronze", "silver", "gold")
 _READY = "_PUBLISHED"
 _PENDING = "_REPLACING"
+# Estimated size from which rows are shuffled as blocks.
+BLOCKS_FROM_BYTES = 16 * 1024 * 1024
 
 
 def create_namespaces(spark: SparkSession, catalog: str | None = None, location: str | None = None) -> list[str]:
@@ -155,9 +158,14 @@ def folders(files: DataFrame, root: str) -> set[str]:
 def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring rows of a partition together before a partitioned write.
 
-    Spark sizes the tasks by bytes, so a partition that outgrows a task is split.
+    Spark sizes the tasks by bytes, so a partition that outgrows a task is split. Rows that Spark does not
+    estimate to be few are shuffled as blocks of columns.
     """
-    return df.hint("rebalance", *partition_by) if partition_by else df
+    if not partition_by:
+        return df
+    if fits_broadcast(df, BLOCKS_FROM_BYTES) or not fits_blocks(df.schema):
+        return df.hint("rebalance", *partition_by)
+    return unpacked(packed(df, partition_by).hint("rebalance", *partition_by), df.schema)
 
 
 @dataclass(frozen=True)
