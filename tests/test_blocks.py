@@ -47,11 +47,11 @@ def test_large_loads_shuffle_blocks_and_small_ones_rows(spark):
         return "RebalancePartitions" in plan, blocks.BLOCK in plan
 
     large = spark.range(10_000_000).selectExpr("id", "id % 3 AS p")
-    assert exchanged(tables.balanced(large, ["p"])) == (True, True)
-    assert exchanged(tables.balanced(spark.range(10).selectExpr("id", "id % 3 AS p"), ["p"])) == (True, False)
+    assert exchanged(tables.balanced(large, ["p"], True)) == (True, True)
+    assert exchanged(tables.balanced(spark.range(10).selectExpr("id", "id % 3 AS p"), ["p"], True)) == (True, False)
     # A type that a block can't keep exactly.
     nested = large.withColumn("s", F.struct("id"))
-    assert exchanged(tables.balanced(nested, ["p"])) == (True, False)
+    assert exchanged(tables.balanced(nested, ["p"], True)) == (True, False)
 
 
 def test_a_load_in_blocks_equals_one_in_rows(spark, folder, always):
